@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, url_filter, warc
+from . import decontaminate, language_id, licenses, mixing, order_minhash, url_filter, warc
 from .common import table
 
 RULE_SQL = """
@@ -62,8 +62,22 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, table(spark, sf_dir, "labels").select("doc_id", "quality")).drop("source")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_id.identify(docs)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "known", F.array_join("langs", ",").alias("langs"))
+
+
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.compare_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_warc, op2_decontaminate, op3_url_filter, op4_mixing)}
+    return {f.__name__: f for f in (op1_warc, op2_decontaminate, op3_url_filter, op4_mixing, op5_language_id, op6_order_minhash, op7_licenses)}
 
 
 def oracle_sql() -> dict[str, str]:
