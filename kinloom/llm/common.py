@@ -2,24 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ARROW_ROWS = 1024  # rows of an Arrow batch: with texts of up to 1 MB a batch stays far below an executor's memory
+from ..session import materialize, work_dir
 
+__all__ = ["materialize", "partitions", "table", "text_bytes", "tune", "work_dir"]
 
-def work_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``. Only where it is unset (tests, a single
-    machine) a temporary folder is taken and set for the session."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="kinloom-")
-        spark.conf.set("spark.checkpoint.dir", path)
-        spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
+ARROW_ROWS = 1024  # rows of an Arrow batch: with texts of up to 1 MB a batch stays far below an executor's memory
 
 
 def tune(spark: SparkSession) -> None:
@@ -29,15 +19,6 @@ def tune(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and returns a reader of it: lineage ends there, and a lost executor costs
-    no more than a reread."""
-    spark = df.sparkSession
-    path = f"{work_dir(spark)}/kinloom/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, licenses, mixing, order_minhash, url_filter, warc
+from . import decontaminate, language_id, licenses, mixing, near_dedup, order_minhash, url_filter, warc
 from .common import table
 
 RULE_SQL = """
@@ -76,8 +76,13 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.link(table(spark, sf_dir, "documents").select("doc_id", "text"), words=4, per_cent=80)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_warc, op2_decontaminate, op3_url_filter, op4_mixing, op5_language_id, op6_order_minhash, op7_licenses)}
+    found = (op1_warc, op2_decontaminate, op3_url_filter, op4_mixing, op5_language_id, op6_order_minhash, op7_licenses, op10_near_dedup)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
