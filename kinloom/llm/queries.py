@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, licenses, mixing, near_dedup, order_minhash, url_filter, warc
+from . import decontaminate, fingerprint_index, language_id, licenses, mixing, near_dedup, order_minhash, suffix_dedup, url_filter, warc
 from .common import table
 
 RULE_SQL = """
@@ -76,12 +76,20 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_index.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.link(table(spark, sf_dir, "documents").select("doc_id", "text"), words=4, per_cent=80)
 
 
 def queries() -> dict:
-    found = (op1_warc, op2_decontaminate, op3_url_filter, op4_mixing, op5_language_id, op6_order_minhash, op7_licenses, op10_near_dedup)
+    found = (op1_warc, op2_decontaminate, op3_url_filter, op4_mixing, op5_language_id, op6_order_minhash, op7_licenses, op8_suffix_dedup, op9_substring_dedup, op10_near_dedup)
     return {f.__name__: f for f in found}
 
 
