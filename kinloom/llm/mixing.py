@@ -52,7 +52,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = 3) -> DataFrame
     rows = rows.withColumn("all", F.sum("source_size").over(everything))
     level = (F.col("all") - F.coalesce(F.sum("most").over(before), F.lit(0))) / F.sum("w").over(after)
     rows = rows.withColumn("level", F.when(level <= F.col("most") / F.col("w"), level))
-    rows = rows.withColumn("level", F.min("level").over(everything))
+    rows = rows.withColumn("level", F.max("level").over(everything))  # the first source that is not full has the largest
     target = F.least(F.col("most").cast("double"), F.col("level") * F.col("w"))
     return rows.select("source", "n_docs", "source_size", F.coalesce(target, F.col("most").cast("double")).alias("target"))
 
@@ -103,7 +103,7 @@ WITH sized AS (
       / sum(w) OVER (ORDER BY source_size * 3 / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM sources
 ), planned AS (
-  SELECT source, source_size, coalesce(least(most::DOUBLE, (min(level) FILTER (level <= most / w) OVER ()) * w), most::DOUBLE) AS target FROM poured
+  SELECT source, source_size, coalesce(least(most::DOUBLE, (max(level) FILTER (level <= most / w) OVER ()) * w), most::DOUBLE) AS target FROM poured
 ), ordered AS (
   SELECT k.doc_id, k.size, p.source_size, p.target,
     CASE WHEN p.source_size > 0 THEN floor(p.target / p.source_size)::BIGINT ELSE 0 END AS epochs,
