@@ -57,7 +57,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = 3) -> DataFrame
     return rows.select("source", "n_docs", "source_size", F.coalesce(target, F.col("most").cast("double")).alias("target"))
 
 
-def mix(docs: DataFrame, labels: DataFrame | None = None, seed: str = "mix", weights=WEIGHTS, max_epochs: int = 3, range_rows: int = 20_000) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame | None = None, seed: str = "mix", weights=WEIGHTS, max_epochs: int = 3, range_rows: int = 4_096) -> DataFrame:
     """doc_id, source, size, source_size, target and taken of every row of ``docs``."""
     rows = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"))
     weight = F.lit(1.0)
