@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import master as M
 from . import values as V
@@ -84,13 +85,13 @@ def name_score(a: str, b: str) -> tuple[float, str]:
     return score, "scored"
 
 
-@F.pandas_udf("struct<name_score: double, rule: string>")
+@F.pandas_udf(T.StructType([T.StructField("name_score", T.DoubleType()), T.StructField("rule", T.StringType())]))
 def name_compare(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     """Of two normalized names; a match is a score of 0.85 or more."""
     return pd.DataFrame([name_score(x or "", y or "") for x, y in zip(a, b, strict=True)], columns=["name_score", "rule"])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def closeness(a: pd.Series, b: pd.Series) -> pd.Series:
     """The better similarity of two strings, as they are and without spaces and signs."""
     flat = lambda s: "".join(ch for ch in s if ch.isascii() and ch.isalnum())

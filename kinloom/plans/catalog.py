@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import q_functions  # noqa: F401
+from pyspark.sql import DataFrame, SparkSession
+
+from . import q_functions, q_operators  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]
 
 
-def flagship(spark, sf_dir):
-    return QUERIES["f12_parse_name"](spark, sf_dir)
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Name dedup end to end: parse, block, score, cluster."""
+    return QUERIES["m15_name_dedup"](spark, sf_dir)
