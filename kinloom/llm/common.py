@@ -9,7 +9,7 @@ from ..session import materialize, work_dir
 
 __all__ = ["materialize", "partitions", "table", "text_bytes", "tune", "work_dir"]
 
-ARROW_ROWS = 1024  # rows of an Arrow batch: with texts of up to 1 MB a batch stays far below an executor's memory
+ARROW_ROWS = 256  # rows of an Arrow batch: with texts of up to 1 MB a batch stays far below an executor's memory
 
 
 def tune(spark: SparkSession) -> None:
