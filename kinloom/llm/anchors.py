@@ -170,7 +170,8 @@ def contexts(found: DataFrame, texts: DataFrame, unit: Unit) -> DataFrame:
     """CONTEXT rows of what is to be compared, the rows of one h together and in the documents' order. A context is
     the symbols that the entry's windows cover; words are joined by one space."""
     asked = found.filter("kind = 1").groupBy("key", "idx").agg(F.collect_set(F.struct("h", "p", "l", "n")).alias("asked"))
-    joined = texts.join(asked, ["key", "idx"]).select("key", "idx", "text", "asked")
+    # The same columns as in the last join with the texts, and a shuffle at every size: Spark then moves the texts once.
+    joined = texts.join(asked.hint("merge"), ["key", "idx"]).select("key", "idx", "text", "asked", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

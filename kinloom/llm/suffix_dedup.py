@@ -199,7 +199,7 @@ def cuts(texts: DataFrame) -> DataFrame:
 def _apply(texts: DataFrame, cut: DataFrame, schema: str, row) -> DataFrame:
     """One row for each text, from its bytes and the merged removed ranges."""
     names = [x.strip().split(" ")[0] for x in schema.split(",")]
-    joined = texts.join(cut, ["key", "idx"], "left").select("doc_id", "text", F.coalesce("cut", F.array().cast("array<struct<s:int,e:int>>")).alias("cut"), *(c for c in texts.columns if c not in ("doc_id", "key", "idx", "text")))
+    joined = texts.join(cut.hint("merge"), ["key", "idx"], "left").select("doc_id", "text", F.coalesce("cut", F.array().cast("array<struct<s:int,e:int>>")).alias("cut"), *(c for c in texts.columns if c not in ("doc_id", "key", "idx", "text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
