@@ -234,7 +234,7 @@ def confirmed_links(docs: DataFrame, groups: DataFrame, words: int, per_cent: in
     totals = groups.groupBy("component").agg(F.sum("n_shingles").alias("s")).select("component", F.ceil(F.col("s") / tile).cast("int").alias("tiles"))
     placed = groups.select("doc_id", "component").distinct().join(totals, "component").withColumn("tile", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int"))
     texts = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
-    joined = texts.join(placed, "doc_id").select("doc_id", "component", "tiles", "tile", "text")
+    joined = texts.join(placed.hint("merge"), "doc_id").select("doc_id", "component", "tiles", "tile", "text")
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
