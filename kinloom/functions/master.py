@@ -13,7 +13,7 @@ NAME_CHAIN = [(rf"(?i)\b{p}\b", r) for p, r in V.NAME_RULES]
 
 def normalize_name(c: Column, trust: Column | bool = False) -> Column:
     """Upper case, whole-word replacements, roman numerals split off, runs of single letters joined. In trust mode
-    only upper case and single spaces. (OLIVER becomes OL IVER: the numeral rule works inside words.)"""
+    only upper case and single spaces. (OLIVER becomes OL IVER: the numeral rule works inside words of capitals.)"""
     s = safe(c)
     n = F.regexp_replace(F.regexp_replace(s, "[/&]", " "), r"[^A-Za-z0-9\s]", "")
     n = F.regexp_replace(chain(n, NAME_CHAIN), V.ROMAN_SPLIT, "$1 $2")

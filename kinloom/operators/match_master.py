@@ -69,8 +69,7 @@ def match(source: DataFrame, master: DataFrame, buckets=V.BUCKETS) -> DataFrame:
     joined = candidates(s, m)
     met = joined.filter("ssn_status = 'MATCHED'")
     met = _boost(met)
-    met = met.withColumnsRenamed({c: "m_" + c[4:] for c in met.columns if c.startswith("m_f_")})
-    met = C.compare_addresses(met, "s", "m")
+    met = C.compare_addresses(met, "s", "m_f")
     met = met.withColumns({"n100": M.round5(F.col("name_score") * 100), "a100": M.round5(F.col("address_score") * 100)})
     every = Window.partitionBy("record_id")
     met = met.withColumn("possible_address_matches", F.sum(F.when((F.col("n100") > 94) & (F.col("a100") > 84), 1).otherwise(0)).over(every))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -77,21 +79,20 @@ query("k01_table_modes", f"{CTE} SELECT record_id, name FROM ba UNION ALL SELECT
 
 
 def _table_modes(spark: SparkSession, df: DataFrame) -> DataFrame:
-    sinks.drop(spark, "kinloom_modes")
-    sinks.write_table(df, "kinloom_modes", "fail")
-    sinks.write_table(df.filter("record_id % 2 = 0"), "kinloom_modes", "append")
-    return spark.table("kinloom_modes")
+    name = f"kinloom_modes_{uuid.uuid4().hex}"
+    sinks.write_table(df, name, "fail")
+    sinks.write_table(df.filter("record_id % 2 = 0"), name, "append")
+    return spark.table(name)
 
 
 @query("k05_archive_and_replace", f"{CTE} SELECT 'now' AS place, 'r2' AS run_id, count(*) AS n FROM ba WHERE record_id % 3 = 0 UNION ALL SELECT 'archive', 'r1', count(*) FROM ba WHERE record_id % 3 = 1")
 def _(spark, d):
-    for t in ("kinloom_now", "kinloom_archive"):
-        sinks.drop(spark, t)
+    now, old = (f"kinloom_{n}_{uuid.uuid4().hex}" for n in ("now", "archive"))
     df = source(spark, d).select("record_id")
-    sinks.archive_and_replace(df.filter("record_id % 3 = 1"), "kinloom_now", "kinloom_archive", "r1")
-    sinks.archive_and_replace(df.filter("record_id % 3 = 0"), "kinloom_now", "kinloom_archive", "r2")
+    sinks.archive_and_replace(df.filter("record_id % 3 = 1"), now, old, "r1")
+    sinks.archive_and_replace(df.filter("record_id % 3 = 0"), now, old, "r2")
     one = lambda t, p: spark.table(t).groupBy("run_id").agg(F.count(F.lit(1)).alias("n")).select(F.lit(p).alias("place"), "run_id", "n")
-    return one("kinloom_now", "now").unionByName(one("kinloom_archive", "archive"))
+    return one(now, "now").unionByName(one(old, "archive"))
 
 
 query("k04_output_columns", f"{CTE} SELECT record_id, name FROM ba")(
