@@ -37,6 +37,9 @@ def deal(buckets: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch | Non
 
 
 def bucket_of(h: np.ndarray, n: int) -> np.ndarray:
+    """An even bucket from 0 to n - 1 also where the hashes are all small, as minima are."""
+    h = h * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xC2B2AE3D27D4EB4F)
     return ((h >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
