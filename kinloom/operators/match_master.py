@@ -10,6 +10,7 @@ from ..functions import master as M
 from ..functions import values as V
 from ..functions.similarity import jaro_winkler_udf, score_distinct
 from ..functions.text import safe, scrub_newlines
+from ..session import materialize
 
 
 def load_master(associates: DataFrame, addresses: DataFrame) -> DataFrame:
@@ -49,6 +50,7 @@ def _boost(df: DataFrame) -> DataFrame:
         cross("DEC_ADDR_NAME", name, m_names), cross("SOURCE_ADDR+DEC_ADDR", s_names, m_names),
     )
     rows = df.select("record_id", "m_record_id", F.posexplode(tries)).select("record_id", "m_record_id", "pos", "col.what", n(F.col("col.a")).alias("a"), n(F.col("col.b")).alias("b"))
+    rows = materialize(rows, "names")
     rows = score_distinct(rows, "a", "b", C.name_compare, "r").withColumn("s", F.col("r.name_score"))
     primary = F.max(F.when(F.col("what") == "PRIMARY", F.col("s")))
     got = rows.groupBy("record_id", "m_record_id").agg(primary.alias("p"), F.max_by(F.struct("what"), F.struct(F.when(F.col("what") != "PRIMARY", F.least("s", F.lit(0.95))), -F.col("pos"))).alias("w"), F.max(F.when(F.col("what") != "PRIMARY", F.least("s", F.lit(0.95)))).alias("x"))
@@ -66,10 +68,10 @@ def match(source: DataFrame, master: DataFrame, buckets=V.BUCKETS) -> DataFrame:
     source, master = source.select(*fields), master.select(*fields)
     s = C.address_features(source, "address", "city", "zip", "s")
     m = C.address_features(master, "address", "city", "zip", "f")
-    joined = candidates(s, m)
+    joined = materialize(candidates(s, m), "met")
     met = joined.filter("ssn_status = 'MATCHED'")
     met = _boost(met)
-    met = C.compare_addresses(met, "s", "m_f")
+    met = materialize(C.compare_addresses(met, "s", "m_f"), "compared")
     met = met.withColumns({"n100": M.round5(F.col("name_score") * 100), "a100": M.round5(F.col("address_score") * 100)})
     every = Window.partitionBy("record_id")
     met = met.withColumn("possible_address_matches", F.sum(F.when((F.col("n100") > 94) & (F.col("a100") > 84), 1).otherwise(0)).over(every))

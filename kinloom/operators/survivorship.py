@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from ..functions import values as V
 from ..functions.records import completeness
 from ..functions.text import blank, digits
+from ..session import materialize
 from .components import connected_components
 
 
 def assign_clusters(df: DataFrame, scored: DataFrame, dense: bool = False) -> DataFrame:
     """cluster_id (smallest record_id of the component, -1 for singletons) and similarity_score (best pair's)."""
+    scored = materialize(scored, "scored")
     found = connected_components(scored).withColumnRenamed("id", "record_id").withColumnRenamed("component", "cluster_id")
     if dense:
         found = found.withColumn("cluster_id", F.dense_rank().over(Window.orderBy("cluster_id")).cast("long") - 1)

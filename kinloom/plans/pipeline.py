@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import blocking, scoring, survivorship, validate
+from ..session import materialize
 
 log = logging.getLogger("kinloom")
 Stage = Callable[[DataFrame, dict], DataFrame]
@@ -19,7 +20,7 @@ PROMISES = {"validate": ["address_normalized", "zip_normalized", "name_normalize
 
 
 def _validate(df: DataFrame, cfg: dict) -> DataFrame:
-    return validate.validate(df, cfg["salt"], cfg.get("drop_invalid", False))
+    return materialize(validate.validate(df, cfg["salt"], cfg.get("drop_invalid", False)), "valid")
 
 
 def _match(df: DataFrame, cfg: dict) -> DataFrame:
@@ -97,7 +98,7 @@ def format_duration(seconds: float) -> str:
 def name_dedup(df: DataFrame, least: int = 85, review_least: int = 75) -> tuple[DataFrame, DataFrame]:
     """(auto, review): names without review keywords are clustered at ``least``, flagged ones at ``review_least``; both
     by zip block, and cluster ids are record ids, so the two never collide."""
-    keyed = scoring.with_match_keys(df)
+    keyed = materialize(scoring.with_match_keys(df), "keys")
     flagged = F.size("review_keywords") > 0
     zips = lambda d: blocking.block(d, [F.substring(F.regexp_replace("zip", "[^0-9]", ""), 1, 5)], F.col("zip") != "")
     out = []

@@ -14,6 +14,7 @@ from ..operators import blocking as B
 from ..operators import geo, match_master, prefilter, reports, review, scoring, validate, versioning
 from ..operators import survivorship as S
 from ..operators.components import connected_components
+from ..session import materialize
 from ..sources import readers, sinks
 from . import oracle as O
 from .people import CTE, master, source
@@ -232,13 +233,13 @@ query("f42_infer_location", f"""{CTE}, i1 AS MATERIALIZED (SELECT record_id, add
 
 @query("m12_record_pairs")
 def _(spark, d):
-    v = valid(spark, d)
+    v = materialize(valid(spark, d), "valid")
     return scoring.record_pairs(v, B.candidates(v))
 
 
 @query("m13_mean_pairs")
 def _(spark, d):
-    v = valid(spark, d)
+    v = materialize(valid(spark, d), "valid")
     return scoring.mean_pairs(v, B.by_ssn(v), ["name", "address", "city"])
 
 
