@@ -9,6 +9,7 @@ from ..functions import master as M
 from ..functions import records as R
 from ..functions import text as T
 from ..functions import values as V
+from ..functions.labels import address_label
 from . import oracle as O
 from .people import CTE, source
 from .registry import query
@@ -165,3 +166,4 @@ scalar("m20_completeness", lambda: R.completeness(V.COMPLETENESS_FIELDS), " + ".
 query("f38_tokenize_pii", f"{CTE} SELECT record_id, CASE WHEN {SSN} = '' THEN '' ELSE sha256({SSN} || '|{SALT}') END AS ssn_token, CASE WHEN {SSN} = '' THEN '' ELSE 'XXX-XX-' || right({SSN}, 4) END AS ssn_masked FROM ba")(
     lambda spark, d: source(spark, d).select("record_id", R.token_of(R.clean_ssn(c("ssn")), SALT).alias("ssn_token"), R.mask_ssn(c("ssn")).alias("ssn_masked"))
 )
+query("f24_address_label")(lambda spark, d: source(spark, d).select("record_id", address_label(c("address"), M.normalize_address(c("address"))).alias("value")))

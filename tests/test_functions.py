@@ -10,6 +10,7 @@ from kinloom.functions import keys as K
 from kinloom.functions import master as M
 from kinloom.functions import records as R
 from kinloom.functions import similarity as S
+from kinloom.functions.labels import label
 
 
 def over(spark, values, f):
@@ -85,3 +86,9 @@ def test_keys(spark):
     assert over(spark, ["Smith, John", "Acme, L.L.C.", "Oil Partners, Jane", "7 Eleven, Bob", "A, B"], K.flip_last_first) == ["John Smith", "Acme, L.L.C.", "Oil Partners, Jane", "7 Eleven, Bob", "A, B"]
     assert over(spark, ["Springfield Med. Assoc", "AMOCO PRODUCTION CO"], K.match_key) == ["SPRINGFIELD MEDICAL ASSOCIATES", "AMOCO PRODUCTION"]
     assert over(spark, ["Smith TR u/a", "Smith TR", "Trustee of x"], K.review_keywords) == [["TR "], [], ["TRUSTEE"]]
+
+
+def test_labels():
+    assert label("John Doe, 12 Main Street Suite 4 rear", "12 MAIN ST STE 4 REAR") == "12 MAIN ST STE 4\nREAR\nJOHN DOE"
+    assert label("Attn Ann, P.O. Box 7", "PO BOX 7") == "PO BOX 7\nATTN ANN"
+    assert label(None, "") == "" and max(map(len, label("", "1 " + "LONG " * 30).split("\n"))) <= 45
