@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .numbering import numbered
+
 
 def split_unique(df: DataFrame, key: Column) -> DataFrame:
     """Adds key_count and needs_dedup: whether another row has the key. Rows without a key need it too. The count is
@@ -17,4 +19,4 @@ def split_unique(df: DataFrame, key: Column) -> DataFrame:
 
 def batches(df: DataFrame, size: int, order: str = "record_id") -> DataFrame:
     """Adds batch_id: contiguous slices of ``size`` rows by id."""
-    return df.withColumn("batch_id", F.floor((F.row_number().over(Window.orderBy(order)) - 1) / size).cast("int"))
+    return numbered(df, order, name="__n").withColumn("batch_id", F.floor(F.col("__n") / size).cast("int")).drop("__n")

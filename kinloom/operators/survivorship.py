@@ -10,6 +10,7 @@ from ..functions.records import completeness
 from ..functions.text import blank, digits
 from ..session import materialize
 from .components import connected_components
+from .numbering import numbered
 
 
 def assign_clusters(df: DataFrame, scored: DataFrame, dense: bool = False) -> DataFrame:
@@ -17,7 +18,8 @@ def assign_clusters(df: DataFrame, scored: DataFrame, dense: bool = False) -> Da
     scored = materialize(scored, "scored")
     found = connected_components(scored).withColumnRenamed("id", "record_id").withColumnRenamed("component", "cluster_id")
     if dense:
-        found = found.withColumn("cluster_id", F.dense_rank().over(Window.orderBy("cluster_id")).cast("long") - 1)
+        places = numbered(found.select("cluster_id").distinct(), "cluster_id", name="place")
+        found = found.join(places, "cluster_id").select("record_id", F.col("place").cast("long").alias("cluster_id"))
     best = best_score(scored)
     out = df.join(found, "record_id", "left").join(best, "record_id", "left")
     return out.withColumns({"cluster_id": F.coalesce("cluster_id", F.lit(-1).cast("long")), "similarity_score": F.coalesce("similarity_score", F.lit(0.0))})

@@ -3,9 +3,11 @@ operations; nothing is updated."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .numbering import numbered
+
 DDL = [
     "CREATE TABLE IF NOT EXISTS ba_merge_operations (operation_id BIGINT, operation_timestamp TIMESTAMP, operation_type STRING, user_id STRING, cluster_id BIGINT, record_count BIGINT, golden_record_id BIGINT, undoes BIGINT, notes STRING) USING parquet",
     "CREATE TABLE IF NOT EXISTS ba_record_versions (operation_id BIGINT, record_id BIGINT, version_timestamp TIMESTAMP, version_type STRING, record_data STRING) USING parquet",
@@ -19,7 +21,7 @@ def record_merges(clustered: DataFrame, golden: DataFrame, user: str, at: Column
     rows = clustered.filter("cluster_id <> -1")
     target = golden.filter("cluster_id <> -1").select("cluster_id", F.col("record_id").alias("golden_record_id"))
     ops = rows.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("record_count")).join(target, "cluster_id")
-    ops = ops.withColumn("operation_id", F.row_number().over(Window.orderBy("cluster_id")).cast("long") + first_id)
+    ops = numbered(ops, "cluster_id", name="place").withColumn("operation_id", F.col("place") + 1 + first_id)
     ops = ops.select("operation_id", at.cast("timestamp").alias("operation_timestamp"), F.lit(kind).alias("operation_type"), F.lit(user).alias("user_id"), "cluster_id", "record_count", "golden_record_id", F.lit(None).cast("long").alias("undoes"), F.lit(None).cast("string").alias("notes"))
     key = ops.select("cluster_id", "operation_id", "golden_record_id", "operation_timestamp")
     snap = lambda df, what: df.join(key, "cluster_id").select("operation_id", "record_id", F.col("operation_timestamp").alias("version_timestamp"), F.lit(what).alias("version_type"), F.to_json(F.struct(*(F.col(c) for c in df.columns)), {"ignoreNullFields": "false"}).alias("record_data"))
@@ -40,8 +42,8 @@ def undo(ops: DataFrame, versions: DataFrame, which: Column, user: str, at: Colu
     several of them comes back as its earliest snapshot."""
     hit = with_state(ops).filter((F.col("operation_type") != "undo") & ~F.col("is_undone") & which)
     last = ops.agg(F.max("operation_id").alias("m"))
-    made = hit.crossJoin(F.broadcast(last)).select(
-        (F.col("m") + F.row_number().over(Window.orderBy(F.desc("operation_id")))).alias("operation_id"), at.cast("timestamp").alias("operation_timestamp"), F.lit("undo").alias("operation_type"), F.lit(user).alias("user_id"),
+    made = numbered(hit, F.desc("operation_id"), name="place").crossJoin(F.broadcast(last)).select(
+        (F.col("m") + F.col("place") + 1).alias("operation_id"), at.cast("timestamp").alias("operation_timestamp"), F.lit("undo").alias("operation_type"), F.lit(user).alias("user_id"),
         "cluster_id", "record_count", "golden_record_id", F.col("operation_id").alias("undoes"), F.lit(None).cast("string").alias("notes"),
     )
     old = versions.filter("version_type = 'before_merge'").join(hit.select("operation_id"), "operation_id")

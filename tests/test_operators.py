@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from kinloom.functions import similarity as S
 from kinloom.operators import blocking, geo, match_master, review, scoring, survivorship, validate
 from kinloom.operators.components import connected_components
+from kinloom.operators.numbering import numbered
 from kinloom.plans.pipeline import Pipeline, format_duration
 from kinloom.sources import readers, sinks
 from kinloom.streaming.match import match_stream
@@ -46,6 +47,23 @@ def test_components_match_union_find(spark):
     assert connected_components(spark.createDataFrame([], "id_a bigint, id_b bigint")).count() == 0
 
 
+def test_numbers_follow_the_order(spark):
+    rng = random.Random(9)
+    values = [rng.choice([None, *range(500)]) for _ in range(900)]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, v int").repartition(5)
+    for order, key in (([F.col("v").desc(), "id"], lambda r: (r.v is None, -(r.v or 0), r.id)), (["v", "id"], lambda r: (r.v is not None, r.v or 0, r.id))):
+        got = sorted(numbered(df, *order).collect(), key=key)
+        assert [r.number for r in got] == list(range(900))
+    assert numbered(df.limit(0), "v").count() == 0
+
+
+def test_dense_cluster_ids(spark):
+    df = spark.createDataFrame([(k,) for k in (1, 5, 8, 20, 21, 30)], "record_id bigint")
+    scored = spark.createDataFrame([(5, 20, 90.0), (8, 21, 95.0)], "id_a bigint, id_b bigint, score double")
+    got = {r.record_id: r.cluster_id for r in survivorship.assign_clusters(df, scored, dense=True).collect()}
+    assert got == {1: -1, 5: 0, 20: 0, 8: 1, 21: 1, 30: -1}
+
+
 def test_record_scores(spark):
     v = validate.validate(people(spark), "salt")
     assert "ssn" not in v.columns
