@@ -95,13 +95,17 @@ def format_duration(seconds: float) -> str:
     return f"{minutes}m {s}s" if minutes < 60 else f"{minutes // 60}h {minutes % 60}m"
 
 
-def name_dedup(df: DataFrame, least: int = 85, review_least: int = 75) -> tuple[DataFrame, DataFrame]:
-    """(auto, review): names without review keywords are clustered at ``least``, flagged ones at ``review_least``; both
-    by zip block, and cluster ids are record ids, so the two never collide."""
-    keyed = materialize(scoring.with_match_keys(df), "keys")
+def name_dedup(df: DataFrame, least: int = 85, review_least: int = 75, most: int = 50_000) -> tuple[DataFrame, DataFrame]:
+    """(auto, review): names without review keywords are clustered at ``least``, flagged ones at ``review_least``; each
+    part over the candidates of every strategy whose columns it has, with the fallback for rows in no pair. Cluster ids
+    are record ids, so the two never collide."""
+    number = F.regexp_replace("phone", "[^0-9]", "")
+    work = {"zip_normalized": F.substring(F.regexp_replace("zip", "[^0-9]", ""), 1, 5), "city_normalized": F.col("city"), "phone_normalized": number}
+    keyed = materialize(scoring.with_match_keys(df).withColumns(work), "keys")
     flagged = F.size("review_keywords") > 0
-    zips = lambda d: blocking.block(d, [F.substring(F.regexp_replace("zip", "[^0-9]", ""), 1, 5)], F.col("zip") != "")
+    strategies = [s for s in blocking.STRATEGIES if s != "ssn" or "ssn_token" in df.columns]
     out = []
     for part, n in ((keyed.filter(~flagged), least), (keyed.filter(flagged), review_least)):
-        out.append(survivorship.assign_clusters(part, scoring.key_pairs(part, zips(part), n)))
+        pairs = blocking.candidates(part, strategies, with_fallback=True, most=most)
+        out.append(survivorship.assign_clusters(part, scoring.key_pairs(part, pairs, n)).drop(*(c for c in work if c not in df.columns)))
     return out[0], out[1]

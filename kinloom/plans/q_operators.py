@@ -241,7 +241,7 @@ def _(spark, d):
 @query("m13_mean_pairs")
 def _(spark, d):
     v = materialize(valid(spark, d), "valid")
-    return scoring.mean_pairs(v, B.by_ssn(v), ["name", "address", "city"])
+    return scoring.mean_pairs(v, B.candidates(v, with_fallback=True), ["name", "address", "city"])
 
 
 @query("m15_name_dedup")
