@@ -24,13 +24,13 @@ def _validate(df: DataFrame, cfg: dict) -> DataFrame:
 
 
 def _match(df: DataFrame, cfg: dict) -> DataFrame:
-    pairs = blocking.candidates(df, cfg.get("strategies"), cfg.get("name_tokens", False), cfg.get("fallback", False), cfg.get("most", 50_000))
+    pairs = blocking.candidates(df, cfg.get("strategies"), cfg.get("name_tokens", False), cfg.get("fallback", True), cfg.get("most", 50_000))
     return survivorship.assign_clusters(df, scoring.record_pairs(df, pairs, cfg.get("threshold", 0.85), cfg.get("weights")))
 
 
 def _hybrid(df: DataFrame, cfg: dict) -> DataFrame:
     """Certain pairs as they are; uncertain ones go to the judge, or stay out without one (unless asked in)."""
-    scored = scoring.hybrid_buckets(scoring.record_pairs(df, blocking.candidates(df), cfg.get("low", 0.75)), cfg.get("high", 0.95), cfg.get("low", 0.75))
+    scored = scoring.hybrid_buckets(scoring.record_pairs(df, blocking.candidates(df, with_fallback=cfg.get("fallback", True), most=cfg.get("most", 50_000)), cfg.get("low", 0.75)), cfg.get("high", 0.95), cfg.get("low", 0.75))
     sure, unsure = scored.filter("bucket = 'certain'"), scored.filter("bucket = 'uncertain'")
     if judge := cfg.get("judge"):
         told = scoring.judge_pairs(unsure, judge, cfg.get("judge_threshold", 0.80)).select("id_a", "id_b", "score", F.lit("ai").alias("match_method"))

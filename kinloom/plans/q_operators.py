@@ -144,12 +144,12 @@ query("j11_block_union", f"{V_CTE}, {_UNION} SELECT id_a, id_b, arg_min(strategy
 _LONE = f"""SELECT record_id FROM v WHERE record_id NOT IN (SELECT id_a FROM z UNION SELECT id_b FROM z)"""
 _Z = "z AS (SELECT a.record_id AS id_a, b.record_id AS id_b FROM v a JOIN v b ON a.zip_normalized = b.zip_normalized AND a.zip_normalized <> '' AND a.record_id < b.record_id)"
 query("j18_uncovered", f"{V_CTE}, {_Z} {_LONE}")(lambda spark, d: (lambda v: B.uncovered(v.select("record_id"), B.by_zip(v)))(valid(spark, d)))
-query("j10_fallback", f"""{V_CTE}, {_Z}, n AS (SELECT record_id, row_number() OVER (ORDER BY record_id) - 1 AS i, count(*) OVER () AS n FROM v),
+_FALLBACK = f"""{V_CTE}, {_Z}, n AS (SELECT record_id, row_number() OVER (ORDER BY record_id) - 1 AS i, count(*) OVER () AS n FROM v),
   s AS (SELECT record_id AS other FROM n WHERE i % greatest(1, n // greatest(1, least(100, n))) = 0),
   b AS (SELECT least(record_id, other) AS id_a, greatest(record_id, other) AS id_b, record_id, other FROM ({_LONE}) JOIN s ON record_id <> other),
-  g AS (SELECT id_a, id_b, min(record_id * 1000000000 + other) AS first_at FROM b GROUP BY ALL) SELECT id_a, id_b FROM g ORDER BY first_at LIMIT 2000""")(
-    lambda spark, d: (lambda v: B.fallback(v, B.by_zip(v), 2000))(valid(spark, d))
-)
+  g AS (SELECT id_a, id_b, min(record_id * 1000000000 + other) AS first_at FROM b GROUP BY ALL) SELECT id_a, id_b FROM g ORDER BY first_at LIMIT """
+query("j10_fallback", f"{_FALLBACK}2000")(lambda spark, d: (lambda v: B.fallback(v, B.by_zip(v), 2000))(valid(spark, d)))
+query("j10_fallback_full", f"{_FALLBACK}50000")(lambda spark, d: (lambda v: B.fallback(v, B.by_zip(v)))(valid(spark, d)))
 query("j13_pairs_in_state", f"{V_CTE} SELECT state AS block, count(*) AS n_rows, (count(*) * (count(*) - 1) // 2)::BIGINT AS n_pairs FROM v WHERE state <> '' GROUP BY 1")(lambda spark, d: B.block_sizes(valid(spark, d), "state"))
 query("j14_pairs_in_cluster", f"{CL_CTE} SELECT a.record_id AS id_a, b.record_id AS id_b FROM cl a JOIN cl b ON a.cluster_id = b.cluster_id AND a.cluster_id >= 0 AND a.record_id < b.record_id")(lambda spark, d: B.within_clusters(clustered(spark, d)))
 query("a15_blocking_coverage", f"{V_CTE} SELECT count(*) AS n_rows, (count(*) * (count(*) - 1) // 2)::BIGINT AS all_pairs, count(*) FILTER (ssn_token <> '') AS has_ssn_token, count(*) FILTER (zip_normalized <> '') AS has_zip_normalized FROM v")(
@@ -235,7 +235,7 @@ query("f42_infer_location", f"""{CTE}, i1 AS MATERIALIZED (SELECT record_id, add
 @query("m12_record_pairs")
 def _(spark, d):
     v = materialize(valid(spark, d), "valid")
-    return scoring.record_pairs(v, B.candidates(v))
+    return scoring.record_pairs(v, B.candidates(v, with_fallback=True))
 
 
 @query("m13_mean_pairs")

@@ -2,12 +2,14 @@
 
 from itertools import combinations
 
+import duckdb
 import pytest
 
 from kinloom.functions import similarity as S
-from kinloom.plans.pipeline import name_dedup
+from kinloom.plans import q_operators
+from kinloom.plans.pipeline import Pipeline, name_dedup
 from kinloom.plans.q_operators import valid
-from kinloom.plans.registry import QUERIES
+from kinloom.plans.registry import ORACLES, QUERIES
 
 KEYS = [*range(1, 75), *range(97 * 7, 97 * 7 + 20), *(37 * k for k in range(20, 60))]
 
@@ -68,3 +70,28 @@ def test_name_dedup_of_all_blocks(spark, folder):
         want |= {k: r if sizes.count(r) > 1 else -1 for k, r in root.items()}
     assert any(c != -1 and not r.zip for r in keyed for c in [want[r.record_id]])
     assert got == want
+
+
+def agrees_with_sql(spark, folder, name):
+    got = QUERIES[name](spark, folder)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW customer AS SELECT * FROM '{folder}/customer.parquet/*.parquet'")
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({ORACLES[name]})").fetchall()
+    rows = sorted(map(tuple, got.collect()))
+    assert rows == sorted(want)
+    return rows
+
+
+def test_fallback_with_the_production_cap(spark, folder):
+    assert len(agrees_with_sql(spark, folder, "j10_fallback_full")) > 2000
+
+
+def test_rows_in_no_block_are_compared(spark, monkeypatch):
+    """One zip is blank, the other row has city, state and zip: no block holds both."""
+    fields = "record_id bigint, name string, address string, city string, state string, zip string, phone string, email string, contact_person string, ssn string"
+    rows = [(1, "Zoe Quill", "9 Elm Road", "Dallas", "TX", "", "", "", "", ""), (2, "Zoe Quill", "9 Elm Road", "Dallas", "TX", "75001", "", "", "", "")]
+    monkeypatch.setattr(q_operators, "source", lambda spark, d: spark.createDataFrame(rows, fields))
+    assert [(r.id_a, r.id_b) for r in QUERIES["m12_record_pairs"](spark, "").collect()] == [(1, 2)]
+    assert [r.cluster_id for r in QUERIES["o01_record_pipeline"](spark, "").collect()] == [1]
+    steps = [{"stage": "validate", "config": {"salt": "s"}}, {"stage": "hybrid_match", "config": {"include_uncertain": True}}]
+    assert [r.cluster_id for r in Pipeline(steps).run(q_operators.source(spark, "")).collect()] == [1, 1]
