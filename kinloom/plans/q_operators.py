@@ -137,6 +137,7 @@ _TOK = "length(tok) >= 3"
 query("j09_block_name_token", f"{CTE}, w AS (SELECT record_id, {NAME_TOKEN} AS tok FROM ba) SELECT tok AS block, count(*) AS n_rows, (count(*) * (count(*) - 1) // 2)::BIGINT AS n_pairs FROM w WHERE {_TOK} GROUP BY 1")(
     lambda spark, d: B.block_sizes(source(spark, d).select(F.when(F.length(R.name_token(c("name"))) >= 3, R.name_token(c("name"))).alias("tok")), "tok")
 )
+pair_query("j09_name_token_pairs", B.by_name_token, "a.tok = b.tok", _TOK)
 _UNION = """u AS (SELECT a.record_id AS id_a, b.record_id AS id_b, 0 AS o, 'ssn' AS strategy FROM v a JOIN v b ON a.ssn_token = b.ssn_token AND a.ssn_token <> '' AND a.record_id < b.record_id
   UNION ALL SELECT a.record_id, b.record_id, 1, 'state' FROM v a JOIN v b ON a.state = b.state AND a.zip_normalized = b.zip_normalized AND a.state <> '' AND a.zip_normalized <> '' AND a.record_id < b.record_id
   UNION ALL SELECT a.record_id, b.record_id, 2, 'zip' FROM v a JOIN v b ON a.zip_normalized = b.zip_normalized AND a.zip_normalized <> '' AND a.record_id < b.record_id)"""
@@ -151,6 +152,7 @@ _FALLBACK = f"""{V_CTE}, {_Z}, n AS (SELECT record_id, row_number() OVER (ORDER
 query("j10_fallback", f"{_FALLBACK}2000")(lambda spark, d: (lambda v: B.fallback(v, B.by_zip(v), 2000))(valid(spark, d)))
 query("j10_fallback_full", f"{_FALLBACK}50000")(lambda spark, d: (lambda v: B.fallback(v, B.by_zip(v)))(valid(spark, d)))
 query("j13_pairs_in_state", f"{V_CTE} SELECT state AS block, count(*) AS n_rows, (count(*) * (count(*) - 1) // 2)::BIGINT AS n_pairs FROM v WHERE state <> '' GROUP BY 1")(lambda spark, d: B.block_sizes(valid(spark, d), "state"))
+pair_query("j13_all_pairs_in_state", B.all_pairs_by_state, "a.state = b.state", "state <> ''")
 query("j14_pairs_in_cluster", f"{CL_CTE} SELECT a.record_id AS id_a, b.record_id AS id_b FROM cl a JOIN cl b ON a.cluster_id = b.cluster_id AND a.cluster_id >= 0 AND a.record_id < b.record_id")(lambda spark, d: B.within_clusters(clustered(spark, d)))
 query("a15_blocking_coverage", f"{V_CTE} SELECT count(*) AS n_rows, (count(*) * (count(*) - 1) // 2)::BIGINT AS all_pairs, count(*) FILTER (ssn_token <> '') AS has_ssn_token, count(*) FILTER (zip_normalized <> '') AS has_zip_normalized FROM v")(
     lambda spark, d: B.coverage(valid(spark, d), ["ssn_token", "zip_normalized"])
@@ -327,6 +329,9 @@ query("a07_reviewer_stats", f"{Q_CTE} SELECT reviewed_by, count(*) AS reviews_co
 query("a20_keyword_breakdown", f"{Q_CTE} SELECT keyword, count(*) AS n FROM q JOIN (VALUES ('TRUST'), ('ESTATE'), ('DEPT')) AS k(keyword) ON contains(review_keywords, keyword) WHERE review_status = 'pending' GROUP BY 1")(
     lambda spark, d: review.keyword_breakdown(queue(spark, d), ["TRUST", "ESTATE", "DEPT"])
 )
+query("a20_keyword_breakdown_all", f"{Q_CTE} SELECT keyword, count(*) AS n FROM q JOIN (VALUES {', '.join(f'({O.q(k)})' for k in V.REVIEW_KEYWORDS)}) AS k(keyword) ON contains(review_keywords, keyword) WHERE review_status = 'pending' GROUP BY 1")(
+    lambda spark, d: review.keyword_breakdown(queue(spark, d), V.REVIEW_KEYWORDS)
+)
 query("a12_review_duplicates", f"{Q_CTE} SELECT name_parsed, count(*) AS duplicate_count, string_agg(id::VARCHAR, ',' ORDER BY id) AS review_ids, string_agg(city || ', ' || state, ',' ORDER BY id) AS locations FROM q WHERE review_status = 'pending' GROUP BY 1 HAVING count(*) > 1")(lambda spark, d: review.duplicates(queue(spark, d)))
 query("a21_review_counters", f"{Q_CTE} SELECT count(*) AS total, {', '.join(f"count(*) FILTER (review_status = '{s}') AS {s}" for s in ('pending', 'approved', 'rejected', 'merged'))} FROM q")(lambda spark, d: review.counters(queue(spark, d)))
 query("r05_search", f"{Q_CTE} SELECT id FROM q WHERE review_status = 'pending' AND name_parsed ILIKE '%smith%' AND (city ILIKE '%o%' OR state = 'TX')")(lambda spark, d: review.search(queue(spark, d), "smith").filter(c("city").ilike("%o%") | (c("state") == "TX")).select("id"))

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from kinloom.functions import similarity as S
+from kinloom.functions import values as V
 from kinloom.plans import q_operators
 from kinloom.plans.pipeline import Pipeline, name_dedup
 from kinloom.plans.q_operators import valid
@@ -95,3 +96,16 @@ def test_rows_in_no_block_are_compared(spark, monkeypatch):
     assert [r.cluster_id for r in QUERIES["o01_record_pipeline"](spark, "").collect()] == [1]
     steps = [{"stage": "validate", "config": {"salt": "s"}}, {"stage": "hybrid_match", "config": {"include_uncertain": True}}]
     assert [r.cluster_id for r in Pipeline(steps).run(q_operators.source(spark, "")).collect()] == [1, 1]
+
+
+@pytest.mark.parametrize("name", ["j09_name_token_pairs", "j13_all_pairs_in_state", "a20_keyword_breakdown_all"])
+def test_whole_results_agree_with_sql(spark, folder, name):
+    rows = agrees_with_sql(spark, folder, name)
+    assert name.startswith("a20") or len(rows) > 100
+
+
+def test_breakdown_of_all_keywords(spark, monkeypatch):
+    df = spark.createDataFrame([("pending", k) for k in V.REVIEW_KEYWORDS], "review_status string, review_keywords string")
+    monkeypatch.setattr(q_operators, "queue", lambda spark, d: df)
+    want = {k: sum(k in x for x in V.REVIEW_KEYWORDS) for k in V.REVIEW_KEYWORDS}
+    assert {r.keyword: r.n for r in QUERIES["a20_keyword_breakdown_all"](spark, "").collect()} == want
