@@ -29,14 +29,19 @@ def _match(df: DataFrame, cfg: dict) -> DataFrame:
 
 
 def _hybrid(df: DataFrame, cfg: dict) -> DataFrame:
-    """Certain pairs as they are; uncertain ones go to the judge, or stay out without one (unless asked in)."""
-    scored = scoring.hybrid_buckets(scoring.record_pairs(df, blocking.candidates(df, with_fallback=cfg.get("fallback", True), most=cfg.get("most", 50_000)), cfg.get("low", 0.75)), cfg.get("high", 0.95), cfg.get("low", 0.75))
-    sure, unsure = scored.filter("bucket = 'certain'"), scored.filter("bucket = 'uncertain'")
+    """Clusters at the low threshold; all pairs in a cluster, scored by the mean of both records' best scores, are
+    certain or uncertain. Certain pairs link as they are; uncertain ones go to the judge, or stay out without one (unless
+    asked in). Only the judge needs every pair; without it the links to each cluster's best record say the same."""
+    high, low = cfg.get("high", 0.95), cfg.get("low", 0.75)
+    pairs = blocking.candidates(df, with_fallback=cfg.get("fallback", True), most=cfg.get("most", 50_000))
+    found = survivorship.assign_clusters(df.select("record_id"), scoring.record_pairs(df, pairs, low))
     if judge := cfg.get("judge"):
-        told = scoring.judge_pairs(unsure, judge, cfg.get("judge_threshold", 0.80)).select("id_a", "id_b", "score", F.lit("ai").alias("match_method"))
+        scored = materialize(scoring.hybrid_buckets(scoring.cluster_pairs(materialize(found, "fuzzy")), high, low), "in_clusters")
+        told = scoring.judge_pairs(scored.filter("bucket = 'uncertain'"), judge, cfg.get("judge_threshold", 0.80)).select("id_a", "id_b", "score", F.lit("ai").alias("match_method"))
+        links = scored.filter("bucket = 'certain'").select("id_a", "id_b", "score", "match_method").unionByName(told)
     else:
-        told = unsure.select("id_a", "id_b", "score", "match_method").filter(F.lit(bool(cfg.get("include_uncertain"))))
-    return survivorship.assign_clusters(df, sure.select("id_a", "id_b", "score", "match_method").unionByName(told))
+        links = scoring.cluster_links(found, low if cfg.get("include_uncertain") else high)
+    return survivorship.assign_clusters(df, links)
 
 
 def _merge(df: DataFrame, cfg: dict) -> DataFrame:

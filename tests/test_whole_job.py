@@ -1,5 +1,6 @@
 """Queries that pair over all strategies with the fallback, against brute force over every pair of rows."""
 
+import random
 from itertools import combinations
 
 import duckdb
@@ -7,8 +8,9 @@ import pytest
 
 from kinloom.functions import similarity as S
 from kinloom.functions import values as V
+from kinloom.operators import blocking, scoring, survivorship
 from kinloom.plans import q_operators
-from kinloom.plans.pipeline import Pipeline, name_dedup
+from kinloom.plans.pipeline import REGISTRY, Pipeline, name_dedup
 from kinloom.plans.q_operators import valid
 from kinloom.plans.registry import ORACLES, QUERIES
 
@@ -109,3 +111,31 @@ def test_breakdown_of_all_keywords(spark, monkeypatch):
     monkeypatch.setattr(q_operators, "queue", lambda spark, d: df)
     want = {k: sum(k in x for x in V.REVIEW_KEYWORDS) for k in V.REVIEW_KEYWORDS}
     assert {r.keyword: r.n for r in QUERIES["a20_keyword_breakdown_all"](spark, "").collect()} == want
+
+
+def test_hybrid_scores_by_both_best_scores(spark, monkeypatch):
+    """A-B .96, B-C .80, C-D .96 is one cluster, each pair's mean being .96; E-F at .80 stays out."""
+    df = spark.createDataFrame([(k,) for k in range(1, 7)], "record_id bigint")
+    scored = [(1, 2, 0.96, "fuzzy"), (2, 3, 0.80, "fuzzy"), (3, 4, 0.96, "fuzzy"), (5, 6, 0.80, "fuzzy")]
+    monkeypatch.setattr(blocking, "candidates", lambda *a, **b: None)
+    monkeypatch.setattr(scoring, "record_pairs", lambda *a: spark.createDataFrame(scored, "id_a bigint, id_b bigint, score double, match_method string"))
+    run = lambda **cfg: {r.record_id: r.cluster_id for r in REGISTRY["hybrid_match"](df, cfg).collect()}
+    assert run() == {1: 1, 2: 1, 3: 1, 4: 1, 5: -1, 6: -1}
+    assert run(include_uncertain=True) == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 5}
+
+    def accept(batches):
+        for x in batches:
+            yield x[["id_a", "id_b", "score"]].assign(reasoning="")
+
+    assert run(judge=accept) == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 5}
+
+
+def test_links_say_what_all_pairs_say(spark):
+    rng = random.Random(3)
+    rows = [(k, rng.choice([-1, 1, 2, 3, 4, 5]), rng.randrange(75, 101) / 100) for k in range(80)]
+    df = spark.createDataFrame(rows, "record_id bigint, cluster_id bigint, similarity_score double")
+    every, ids = scoring.cluster_pairs(df), df.select("record_id")
+    assert every.count() == sum(c >= 0 and c == d for (_, c, _), (_, d, _) in combinations(rows, 2))
+    for least in (0.75, 0.9, 0.95):
+        want, got = (sorted(map(tuple, survivorship.assign_clusters(ids, x).collect())) for x in (every.filter(every.score >= least), scoring.cluster_links(df, least)))
+        assert got == want
