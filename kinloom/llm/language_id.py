@@ -1,8 +1,9 @@
 """Language identification as a mixture: which languages, and in which proportions, wrote a document's n-grams.
 
 Training counts hashed byte trigrams by language over a bounded sample of the labelled rows: about ``per_language``
-rows of each language, those with the smallest hash, whatever the size of the table. The model is a table of
-2^15 probabilities for each of at most ``max_languages`` languages, so its size is bounded, and it is sent to tasks.
+rows of each language, those with the smallest hash, whatever the size of the table. Every language that occurs is
+learned. The model is a table of 2^15 probabilities (128 KB) for each of them, made in blocks of languages from sparse
+counts and sent to tasks.
 
 Inference works on the whole text. Expectation-maximisation estimates the proportions under all languages; then sets of
 the one, two, three ... strongest languages are compared by log-likelihood less ``penalty`` * size * log(n-grams) / 2,
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes, tune
+from .common import materialize, text_bytes, tune
 
 BITS = 15
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
@@ -46,10 +47,10 @@ def has_letters(text: bytes) -> bool:
 
 
 class Model:
-    def __init__(self, languages: list[str], counts: np.ndarray):
-        self.languages = languages
-        p = counts + 0.5
-        self.p = np.ascontiguousarray((p / p.sum(axis=1, keepdims=True)).T, dtype=np.float64) if languages else np.zeros((1 << BITS, 0))
+    """``p``: a row for each hashed trigram, a column for each language."""
+
+    def __init__(self, languages: list[str], p: np.ndarray):
+        self.languages, self.p = languages, p
 
     def mixture(self, text: bytes, penalty: float = 3.0, rounds: int = 12) -> tuple[list[tuple[str, float]], bool]:
         """(language, proportion) of the chosen set, largest first, and whether the document is known."""
@@ -61,7 +62,7 @@ class Model:
         n = c.sum()
         if not n:
             return [], False
-        p = self.p[where]
+        p = self.p[where].astype(np.float64)
 
         def em(q: np.ndarray, rounds: int) -> tuple[np.ndarray, float]:
             theta = np.full(q.shape[1], 1 / q.shape[1])
@@ -90,34 +91,40 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(labelled: DataFrame, per_language: int = 2000, max_languages: int = 64) -> Model:
-    """Learns from ``labelled`` (doc_id, text, lang). Of more than ``max_languages`` the most frequent are learned."""
+def train(labelled: DataFrame, per_language: int = 2000, block: int = 64) -> Model:
+    """Learns every language of ``labelled`` (doc_id, text, lang). The driver holds the counts of ``block`` languages at
+    a time."""
     spark = labelled.sparkSession
     tune(spark)
     rows = labelled.filter("lang is not null and text is not null and text <> ''")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    if not sizes:
-        return Model([], np.zeros((0, 1 << BITS)))
-    share = F.coalesce(*(F.when(F.col("lang") == r["lang"], min(1.0, per_language / r["count"])) for r in sizes), F.lit(0.0))
+    sizes = sorted((r["lang"], r["count"]) for r in rows.groupBy("lang").count().collect())
+    languages = [lang for lang, _ in sizes]
+    p = np.empty((1 << BITS, len(languages)), np.float32)
+    if not languages:
+        return Model(languages, p)
+    shares = spark.createDataFrame([(lang, k, min(1.0, per_language / n)) for k, (lang, n) in enumerate(sizes)], "lang string, k int, share double")
     draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(0)), F.length("text")), F.lit(1 << 20)) / float(1 << 20)
-    picked = rows.filter(draw < share).select("lang", text_bytes().alias("text"))
+    picked = rows.join(F.broadcast(shares), "lang").filter(draw < F.col("share")).select("k", text_bytes().alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums: dict[str, np.ndarray] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            sums: dict[int, np.ndarray] = {}
+            for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 got = np.bincount(grams(text), minlength=1 << BITS)
-                sums[lang] = sums[lang] + got if lang in sums else got
-            for lang, got in sums.items():
+                sums[k] = sums[k] + got if k in sums else got
+            for k, got in sums.items():
                 where = np.flatnonzero(got)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(where)), pa.array(where, pa.int32()), pa.array(got[where], pa.int64())], names=["lang", "gram", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([k] * len(where), pa.int32()), pa.array(where, pa.int32()), pa.array(got[where], pa.int64())], names=["k", "gram", "n"])
 
-    counted = picked.mapInArrow(count, "lang string, gram int, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
-    languages = sorted({r["lang"] for r in sizes})
-    at = {lang: k for k, lang in enumerate(languages)}
-    counts = np.zeros((len(languages), 1 << BITS))
-    counts[[at[x] for x in counted["lang"].to_pylist()], counted["gram"].to_numpy()] = counted["n"].to_numpy()
-    return Model(languages, counts)
+    counted = picked.mapInArrow(count, "k int, gram int, n bigint").groupBy("k", "gram").agg(F.sum("n").alias("n"))
+    if len(languages) > block:
+        counted = materialize(counted, "counted")
+    for first in range(0, len(languages), block):
+        part = counted.filter(F.col("k").between(first, first + block - 1)).toArrow()
+        got = np.full((min(block, len(languages) - first), 1 << BITS), 0.5)
+        got[part["k"].to_numpy() - first, part["gram"].to_numpy()] += part["n"].to_numpy()
+        p[:, first : first + len(got)] = (got / got.sum(axis=1, keepdims=True)).T
+    return Model(languages, p)
 
 
 FOUND = "lang_pred string, score double, known boolean, langs array<string>, shares array<double>"
@@ -129,13 +136,11 @@ def predict(docs: DataFrame, model: Model, penalty: float = 3.0) -> DataFrame:
     tune(spark)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "known", "langs", "shares")]
     start = docs.select(*kept, *(F.lit(None).cast(t).alias(n) for n, t in (x.split(" ") for x in FOUND.split(", "))))
-    sent = spark.sparkContext.broadcast((model.languages, model.p.astype(np.float32)))
+    sent = spark.sparkContext.broadcast((model.languages, model.p))
     width = len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model([], np.zeros((0, 1 << BITS)))
-        m.languages, m.p = sent.value
-        m.p = m.p.astype(np.float64)
+        m = Model(*sent.value)
         for batch in batches:
             out = [m.mixture(x.as_py() or b"", penalty) for x in batch.column(batch.schema.get_field_index("text")).cast(pa.binary())]
             new = [

@@ -85,6 +85,17 @@ def test_language_mixture(spark):
     assert language_id.identify(df.filter("lang is null")).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_every_language_is_learned(spark):
+    """70 languages of their own words, the rarest ones with half as many rows."""
+    rng = random.Random(8)
+    bags = {f"l{k:02}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(5)] for k in range(70)}
+    rows = [(n, " ".join(rng.choices(bags[lang], k=30)), lang) for n, lang in enumerate(x for k, x in enumerate(bags) for _ in range(4 if k < 60 else 2))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_id.train(df)
+    assert model.languages == sorted(bags)
+    assert all(r.lang_pred == r.lang and r.known for r in language_id.predict(df, model).collect())
+
+
 def naive_fingerprint(text: bytes):
     """Order MinHash by sorting all numbered k-mers for every hash function."""
     x, places = order_minhash._numbered(text)
