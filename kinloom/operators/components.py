@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 
 
 def _stars(edges: DataFrame) -> DataFrame:
@@ -34,5 +34,6 @@ def connected_components(edges: DataFrame, a: str = "id_a", b: str = "id_b", max
         if mark == seen or not mark[0]:
             return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(now.select("b", F.col("b").alias("component")).distinct())
         seen = mark
-        now = materialize(_stars(now), f"stars{k}")
+        before, now = now, materialize(_stars(now), f"stars{k}")
+        discard(before)
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
