@@ -33,22 +33,25 @@ _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def _numbered(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """32-bit hashes of the occurrence-numbered k-mers, and their places in the text."""
+    """32-bit hashes of the occurrence-numbered k-mers, and their places in the text. A k-mer is known by its full 64-bit
+    hash, so it is numbered and hashed alike in texts of every length."""
     n = max(len(text) - K + 1, 1)
     h = np.ndarray((n,), np.uint64, buffer=text + b"\0" * (K - len(text)) if len(text) < K else text, strides=(1,)).copy()
     h ^= h >> np.uint64(31)
     h *= _P1
     h ^= h >> np.uint64(29)
     h *= _P2
-    low = np.uint64(max(16, n.bit_length()))
-    keys = ((h >> low) << low) | np.arange(n, dtype=np.uint64)
-    keys.sort()
-    places = (keys & np.uint64((1 << int(low)) - 1)).astype(np.int64)
-    keys >>= low
+    places = np.argsort(h)
+    keys = h[places]
     fresh = np.ones(n, bool)
     np.not_equal(keys[1:], keys[:-1], out=fresh[1:])
-    index = np.arange(n, dtype=np.uint64)
-    number = index - np.maximum.accumulate(np.where(fresh, index, np.uint64(0)))
+    index = np.arange(n)
+    lead = np.maximum.accumulate(np.where(fresh, index, 0))
+    if not fresh.all():  # equal k-mers are numbered as they come in the text
+        member = np.flatnonzero(~fresh | np.r_[~fresh[1:], False])
+        part = places[member]
+        places[member] = part[np.lexsort((part, lead[member]))]
+    number = (index - lead).astype(np.uint64)
     x = (keys + number * _P2) * _P1
     x ^= x >> np.uint64(32)
     x *= _P2
@@ -100,12 +103,12 @@ def _bucket(key: Column, bounds: list[int], at: int = 0) -> Column:
     return F.when(key < bounds[mid], _bucket(key, bounds[:mid], at)).otherwise(_bucket(key, bounds[mid + 1 :], at + mid + 1))
 
 
-def next_pairs(docs: DataFrame, max_ranges: int = 1024) -> DataFrame:
+def next_pairs(docs: DataFrame) -> DataFrame:
     """Rows (bucket, lent, key, doc_id, text), each range's rows together and in order, its lent rows last."""
     spark = docs.sparkSession
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     keyed = docs.select(key.alias("key"), F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
-    n = min(max_ranges, 4 * partitions(spark))
+    n = 4 * partitions(spark)
     bounds = sorted({int(x) for x in docs.approxQuantile("doc_id", [k / n for k in range(1, n)], 1 / (4 * n))} if n > 1 else ())
     keyed = keyed.withColumn("bucket", _bucket(F.col("key"), bounds))
     firsts = sorted((r["bucket"], r["first"]) for r in keyed.groupBy("bucket").agg(F.min("key").alias("first")).collect())
