@@ -1,16 +1,16 @@
 """Suffix-array dedup: removes every byte under a ``WINDOW``-byte string that also starts earlier.
 
-Repeats are found in two steps. Entries (see ``anchors``) bring together all stretches that could share a window, and
-stretches that are equal as a whole are resolved there. What differs somewhere is compared by a suffix array: the
-stretches are laid end to end and their suffixes sorted in two stages (Itoh and Tanaka): only suffixes smaller than
-their successors are sorted directly, by their first ``DEPTH`` bytes; all others are induced by one scan of the
-buckets of first bytes. Adjacent suffixes with a common prefix of at least a window start equal strings, and of each
-run of such suffixes the earliest place stays.
+Anchors (see ``anchors``) choose which stretches of text meet in a block, and nothing else: every removal comes from the
+block's suffix array. The stretches are laid end to end and their suffixes sorted in two stages (Itoh and Tanaka): only
+suffixes smaller than their successors are sorted directly, by their first ``DEPTH`` bytes; all others are induced by one
+scan of the buckets of first bytes. Adjacent suffixes with a common prefix of at least a window start equal strings, and
+of each run of such suffixes the earliest place in the corpus stays.
 
-A whole array of the corpus would move 100 bytes for every byte of text; the anchors move about one for each.
+An array of the whole corpus would move 100 bytes for every byte of text; a repeated stretch moves about once, and text
+that repeats nowhere stays where it is.
 
 Null text is empty. Texts shorter than a window lose nothing. Rows that share an id (or have none; those come first)
-stand in the order of their texts. An empty table gives no rows; other columns are not touched.
+stand in the order of their texts. An empty table gives no rows; other columns are not touched, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,11 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import anchors
-from .common import materialize, text_bytes
 
 WINDOW, GRAM, DEPTH = 100, 32, 104
 UNIT = anchors.Unit("byte", WINDOW, GRAM, True)
@@ -37,23 +36,9 @@ def _word(padded: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def direct_sort(padded: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
-    """Places in the order of their first ``depth`` bytes; ties keep their order."""
-    order = at[np.argsort(_word(padded, at), kind="stable")]
-    key = _word(padded, order)
-    tied = np.r_[False, key[1:] == key[:-1]]
-    for step in range(8, depth, 8):
-        member = tied | np.r_[tied[1:], False]
-        where = np.flatnonzero(member)
-        if not len(where):
-            break
-        group = np.cumsum(~tied)[where]
-        part = order[where]
-        key = _word(padded, part + step)
-        perm = np.lexsort((key, group))
-        order[where] = part[perm]
-        key = key[perm]
-        tied[where] = np.r_[False, (key[1:] == key[:-1]) & (group[1:] == group[:-1])]
-    return order
+    """Places in the order of their first ``depth`` bytes; ties stand in any order."""
+    view = np.ndarray((len(padded) - depth + 1,), f"S{depth}", buffer=padded, strides=(1,))
+    return at[np.argsort(view[at])]
 
 
 def suffix_array(text: bytes, depth: int = DEPTH) -> np.ndarray:
@@ -112,7 +97,9 @@ def common_prefixes(text: bytes, sa: np.ndarray, depth: int = DEPTH) -> np.ndarr
     padded = np.zeros(len(text) + depth + 16, np.uint8)
     padded[: len(text)] = np.frombuffer(text, np.uint8)
     out = np.zeros(len(sa), np.int64)
-    live = np.arange(1, len(sa))
+    view = np.ndarray((len(text) + 1,), f"S{depth}", buffer=padded, strides=(1,))[sa]
+    live = 1 + np.flatnonzero(view[1:] != view[:-1])
+    out[1:] = depth
     for step in range(0, depth, 8):
         a, b = _word(padded, sa[live] + step), _word(padded, sa[live - 1] + step)
         x = a ^ b
@@ -124,93 +111,52 @@ def common_prefixes(text: bytes, sa: np.ndarray, depth: int = DEPTH) -> np.ndarr
             lead += x < np.uint64(1 << (64 - 8 * k))
         out[diff] = step + lead
         live = live[equal]
-    out[live] = depth
+        if not len(live):
+            break
     edge = len(text) - sa
     out[1:] = np.minimum(out[1:], np.minimum(edge[1:], edge[:-1]))
     return out
 
 
-def repeats(pieces: list[bytes], window: int = WINDOW) -> list[np.ndarray]:
-    """For each piece the starts of its windows that also start earlier, in a piece before it or in itself."""
+def repeats(pieces: list[bytes], places: np.ndarray | None = None, window: int = WINDOW) -> list[np.ndarray]:
+    """For each piece the starts of its windows that also start at an earlier place. ``places`` numbers the pieces' first
+    bytes in the corpus's order (a place may come twice); without it the pieces stand one after the other."""
     text = b"".join(pieces)
     sizes = np.array([len(x) for x in pieces], np.int64)
     ends = np.cumsum(sizes)
+    begins = ends - sizes
     owner = np.repeat(np.arange(len(pieces)), sizes)
-    sa = suffix_array(text)
+    sa = suffix_array(text) if text else np.zeros(0, np.int64)
     sa = sa[sa + window <= ends[owner[sa]]]
     if not len(sa):
         return [np.zeros(0, np.int64) for _ in pieces]
+    place = sa if places is None else places[owner[sa]] + (sa - begins[owner[sa]])
     head = common_prefixes(text, sa) < window
     run = np.cumsum(head) - 1
-    least = np.minimum.reduceat(sa, np.flatnonzero(np.r_[True, head[1:]]))
-    again = np.sort(sa[sa != least[run]])
+    least = np.minimum.reduceat(place, np.flatnonzero(head))
+    again = np.sort(sa[place > least[run]])
     cut = np.searchsorted(again, np.r_[0, ends])
-    return [again[cut[k] : cut[k + 1]] - (ends[k] - sizes[k]) for k in range(len(pieces))]
+    return [again[cut[k] : cut[k + 1]] - begins[k] for k in range(len(pieces))]
 
 
-def compare(rows: DataFrame, block_bytes: int = 4 << 20) -> DataFrame:
-    """(key, idx, s, e): ranges that go, from CONTEXT rows. Whole groups of one h are compared in blocks of about
-    ``block_bytes``; equal contexts of a group are looked up, not sorted again, so a block holds distinct ones."""
+def compare(batches: Iterator[pa.RecordBatch], chunk_bytes: int = 1 << 20) -> Iterator[tuple[int, int, int, int]]:
+    """(key, idx, start, end): ranges that go, from PIECE rows."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block: list[tuple[int, int, int, bytes]] = []
-        size, now, group = 0, None, {}
-        out: list[tuple[int, int, int, int]] = []
-
-        def work() -> None:
-            nonlocal block, size
-            if block:
-                for (key, idx, start, _), again in zip(block, repeats([x[3] for x in block]), strict=True):
-                    s, e = anchors.merged(np.c_[again, again + WINDOW].tolist())
-                    out.extend((key, idx, start + int(a), start + int(b)) for a, b in zip(s, e, strict=True))
-            block, size = [], 0
-
-        def ship() -> pa.RecordBatch:
-            cols = list(zip(*out, strict=True))
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], names=["key", "idx", "s", "e"])
+    def work(sources: list[tuple], rest: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
+        rows = sorted({x[2:5] + (x[6],) for x in sources + rest}, key=lambda x: (x[:3], -len(x[3])))
+        documents = {d: k for k, d in enumerate(dict.fromkeys(x[:2] for x in rows))}
+        places = np.array([(documents[x[:2]] << 32) + x[2] for x in rows], np.int64)
+        for (key, idx, start, _), again in zip(rows, repeats([x[3] for x in rows], places), strict=True):
+            for a, b in zip(*anchors.merge(again, again + WINDOW), strict=True):
+                yield key, idx, start + int(a), start + int(b)
 
-        for batch in batches:
-            for h, key, idx, p, l, piece in zip(*(batch.column(k).to_pylist() for k in (0, 1, 2, 3, 4, 6)), strict=True):
-                if h != now:
-                    if size >= block_bytes:
-                        work()
-                    now, group = h, {}
-                if group.setdefault((l, piece), (key, idx, p)) != (key, idx, p):
-                    out.append((key, idx, p - l, p - l + len(piece)))
-                    continue
-                block.append((key, idx, p - l, piece))
-                size += len(piece)
-            if out:
-                yield ship()
-        work()
-        if out:
-            yield ship()
-
-    return rows.mapInArrow(run, "key bigint, idx int, s int, e int")
-
-
-def cuts(texts: DataFrame) -> DataFrame:
-    """(key, idx, cut) of keyed rows."""
-    found = materialize(anchors.read_buckets(anchors.extract(texts, UNIT, anchors.bucket_count(texts)), UNIT), "repeats")
-    return anchors.ranges(found, compare(anchors.contexts(found, texts, UNIT)), UNIT)
-
-
-def _apply(texts: DataFrame, cut: DataFrame, schema: str, row) -> DataFrame:
-    """One row for each text, from its bytes and the merged removed ranges."""
-    names = [x.strip().split(" ")[0] for x in schema.split(",")]
-    joined = texts.join(cut.hint("merge"), ["key", "idx"], "left").select("doc_id", "text", F.coalesce("cut", F.array().cast("array<struct<s:int,e:int>>")).alias("cut"), *(c for c in texts.columns if c not in ("doc_id", "key", "idx", "text")))
+    return anchors.in_blocks(batches, chunk_bytes, work)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text, cut in zip(batch.column(1), batch.column(2), strict=True):
-                s, e = anchors.merged([(x["s"], x["e"]) for x in cut.as_py()])
-                out.append(row(text.as_py(), s, e))
-            cols = list(zip(*out, strict=True)) or [() for _ in names[1:]]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(list(c), k) for c, k in zip(cols, row.types, strict=True))], names=names)
 
-    return joined.mapInArrow(run, schema)
+def cuts(texts: DataFrame, buckets: int) -> DataFrame:
+    """Ranges that go, dealt by document, of keyed rows."""
+    asks = anchors.read_buckets(anchors.extract(texts, UNIT, buckets), UNIT, buckets)
+    return anchors.cut_rows(anchors.pieces(asks, texts, UNIT, buckets), compare, buckets)
 
 
 def kept_bytes(text: bytes, s: np.ndarray, e: np.ndarray) -> bytes:
@@ -250,30 +196,23 @@ _digest.types = (pa.int64(), pa.int64(), pa.int64(), pa.string())
 def digest(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row."""
     texts = anchors.prepare(docs)
-    return _apply(texts, cuts(texts), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string", _digest)
+    buckets = anchors.bucket_count(texts)
+    return anchors.apply_cuts(texts, cuts(texts, buckets), buckets, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string", _digest)
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with what is left of ``text``, and ``n_chars`` (if there) counted anew. A null text stays null."""
-    texts = anchors.prepare(docs)
-    spans = cuts(texts).alias("c")
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(anchors.NO_ID))
-    rows = docs.withColumn("__key", key).withColumn("__idx", F.lit(0))
-    if not texts.filter("idx > 0").isEmpty():
-        rows = rows.withColumn("__idx", F.row_number().over(Window.partitionBy("__key").orderBy(text_bytes())) - 1)
-    joined = rows.join(spans, (F.col("__key") == F.col("c.key")) & (F.col("__idx") == F.col("c.idx")), "left").select(*(rows[c] for c in docs.columns), F.col("c.cut").alias("__cut"))
+    others = [c for c in docs.columns if c != "text"]
+    texts = anchors.prepare(docs, others)
+    buckets = anchors.bucket_count(texts)
+    cut = anchors.per_document(cuts(texts, buckets), anchors.CUT, "cut", buckets, whole=True)
+    joined = texts.join(cut.hint("merge"), ["key", "idx"], "left").select("text", "cut", "missing", "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index("text")
-            cut = batch.column(batch.num_columns - 1)
-            texts_ = []
-            for text, c in zip(batch.column(at), cut, strict=True):
-                c = c.as_py()
-                texts_.append(kept_text(text.as_py().encode(), *anchors.merged([(x["s"], x["e"]) for x in c])) if c else text.as_py())
-            columns = list(batch.columns[:-1])
-            columns[at] = pa.array(texts_, batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
-
-    out = joined.mapInArrow(run, docs.schema)
+            left = [None if gone else kept_text(text.as_py(), *anchors.merged(blob.as_py())) for text, blob, gone in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(3), pa.array(left, pa.string())], names=["row", "left"])
+
+    rows = joined.mapInArrow(run, joined.select("row").schema.add("left", "string"))
+    out = rows.select(*(F.col("left").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

@@ -3,10 +3,12 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from kinloom.llm import decontaminate, fingerprint_index, near_dedup, suffix_dedup
+from kinloom.llm import anchors, decontaminate, fingerprint_index, near_dedup, suffix_dedup
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -103,16 +105,104 @@ def test_substring_dedup(spark):
         assert (got[k].n_words, got[k].n_removed, got[k].kept_sha256) == (len(s), len(s) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest())
 
 
-def test_index_compacts(spark):
-    from kinloom.llm import anchors
+def ranges_of(index, asks, texts):
+    cuts = anchors.cut_rows(anchors.pieces(asks, texts, fingerprint_index.UNIT, index.buckets), fingerprint_index.verify, index.buckets)
+    rows = anchors.per_document(cuts, anchors.CUT, "cut", index.buckets, whole=True).collect()
+    return {r.key: [list(x) for x in zip(*(y.tolist() for y in anchors.merged(bytes(r.cut))), strict=True)] for r in rows}
 
-    texts = anchors.prepare(spark.createDataFrame(corpus(60, 13), DOCS))
-    index = fingerprint_index.FingerprintIndex(spark, 4, fanout=2)
-    found = [index.add(b) for b in fingerprint_index.batches(texts, 3)]
-    assert [len(level) for level in index.levels] == [1, 1]
-    whole = fingerprint_index.FingerprintIndex(spark, 4).add(texts).filter("kind = 0").select("key", "p")
-    parts = found[0].unionByName(found[1]).unionByName(found[2]).filter("kind = 0").select("key", "p").distinct()
-    assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, whole.collect()))
+
+def test_index_is_reopened_and_compacts(spark, tmp_path):
+    """Three sessions of one index: every one opens the folder anew, adds a batch and finds what one pass finds."""
+    rows = corpus(90, 13)
+    texts = anchors.prepare(spark.createDataFrame(rows, DOCS))
+    folder, asks = f"file://{tmp_path}/index", None
+    for k, batch in enumerate(fingerprint_index.batches(texts, 3)):
+        index = fingerprint_index.FingerprintIndex(spark, folder, 4, 2, fanout=2) if not k else fingerprint_index.FingerprintIndex.open(spark, folder)
+        got = index.add(batch)
+        asks = got if asks is None else asks.unionByName(got)
+    again = fingerprint_index.FingerprintIndex.open(spark, folder)
+    assert [len(level) for level in again.levels] == [1, 1] and again.levels == index.levels
+    want = brute(sorted((k, (t or "").encode().split()) for k, t, *_ in rows), 50, False)
+    assert ranges_of(index, asks, texts) == {k: v for k, v in want.items() if v}
+    plan = index._met(again.levels[0][0], again.levels[1][0])._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_query_compacts(spark, monkeypatch):
+    seen = []
+    compact = fingerprint_index.FingerprintIndex._compact
+    monkeypatch.setattr(fingerprint_index.FingerprintIndex, "_compact", lambda self: (compact(self), seen.append([len(x) for x in self.levels]))[0])
+    fingerprint_index.cuts(anchors.prepare(spark.createDataFrame(corpus(60, 13), DOCS)), 4)
+    assert seen[-1] == [1, 1]
+
+
+def test_removal_needs_the_array(spark, monkeypatch):
+    """Without common prefixes from the array nothing goes."""
+    rows = [(k, "same words again and again " * 20, None, None, None) for k in range(4)]
+    work = lambda: anchors.in_blocks(iter([batch]), 1 << 20, lambda *_: iter(()))
+    df = spark.createDataFrame(rows, DOCS)
+    texts = anchors.prepare(df)
+    found = anchors.pieces(anchors.read_buckets(anchors.extract(texts, suffix_dedup.UNIT, 4), suffix_dedup.UNIT, 4), texts, suffix_dedup.UNIT, 4)
+    batch = pa.Table.from_batches(found.toArrow().to_batches()).combine_chunks().to_batches()[0]
+    assert list(suffix_dedup.compare(iter([batch]))) and not list(work())
+    monkeypatch.setattr(suffix_dedup, "common_prefixes", lambda text, sa, depth=0: np.zeros(len(sa), np.int64))
+    assert not list(suffix_dedup.compare(iter([batch])))
+
+
+def test_hot_grams_are_split(spark, monkeypatch):
+    """A gram in many neighbourhoods, a passage in many documents, and null and repeated ids."""
+    rng = random.Random(3)
+    gram = "the one and only gram that stands in every text of this corpus "
+    tail = [" ".join(f"w{rng.randrange(40)}" for _ in range(60)) for _ in range(12)]
+    rows = [(None if k % 9 == 0 else k // 2, rng.choice(tail)[-rng.randrange(20, 90) :] + gram + rng.choice(tail), None, None, None) for k in range(160)]
+    df = spark.createDataFrame(rows, DOCS).repartition(3)
+    plain = sorted(map(tuple, suffix_dedup.digest(df).collect()), key=str)
+    other = sorted(map(tuple, fingerprint_index.digest(df).collect()), key=str)
+    monkeypatch.setattr(anchors, "MIXED_MOST", 3)
+    monkeypatch.setattr(anchors, "HELD", 50)
+    monkeypatch.setattr(anchors, "blocks_of", lambda m: np.minimum(m, 3).astype(np.uint64))
+    assert sorted(map(tuple, suffix_dedup.digest(df).collect()), key=str) == plain
+    assert sorted(map(tuple, fingerprint_index.digest(df).collect()), key=str) == other
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0, rows[i][1]))
+    want = brute([(i, rows[i][1].encode()) for i in order], 100, True)
+    assert sorted(str((rows[i][0], sum(b - a for a, b in want[i]))) for i in order) == sorted(str((r[0], r[2])) for r in plain)
+    want = brute([(i, rows[i][1].encode().split()) for i in order], 50, False)
+    assert sorted(str((rows[i][0], sum(b - a for a, b in want[i]))) for i in order) == sorted(str((r[0], r[2])) for r in other)
+
+
+@pytest.mark.parametrize("op", [suffix_dedup.digest, fingerprint_index.digest, near_dedup.link])
+def test_empty_tables(spark, op):
+    assert op(spark.createDataFrame([], DOCS)).count() == 0
+    assert op(spark.createDataFrame([(1, None, None, None, None)], DOCS)).count() == 1
+
+
+def test_forest_finds_links_in_dense_regions():
+    """Sets that share most of their minima with hundreds of others, and pairs of similarity just above 0.8 among them."""
+    rng = np.random.default_rng(5)
+    draw = lambda n: rng.integers(0, 1 << 64, n, dtype=np.uint64)
+    core = draw(60)
+    sets, pairs = [], []
+    for _ in range(400):
+        own = draw(60)
+        sets.append(np.unique(np.r_[core, own]))
+        pairs.append((len(sets) - 1, len(sets)))
+        sets.append(np.unique(np.r_[core, own[:47], draw(13)]))  # 107 of 133
+    least = np.stack([near_dedup.minima(s) for s in sets])
+    marks = near_dedup.bits(least)
+    for work in (near_dedup.WORK, 2_000):
+        met = set()
+        for t in range(near_dedup.TREES):
+            sub = least[:, t * near_dedup.DEPTH : (t + 1) * near_dedup.DEPTH]
+            order = np.lexsort(sub.T[::-1])
+            cuts = np.r_[0, np.flatnonzero((sub[order][1:, : near_dedup.BASE] != sub[order][:-1, : near_dedup.BASE]).any(axis=1)) + 1, len(order)]
+            for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+                if e - s > 1:
+                    at = order[s:e]
+                    met.update((min(at[x], at[y]), max(at[x], at[y])) for x, y in near_dedup.region_links(sub[at], marks[at], near_dedup.BASE, work))
+        groups = near_dedup.Groups(len(sets))
+        for x, y in met:
+            groups.join(int(x), int(y))
+        assert sum(groups.find(x) == groups.find(y) for x, y in pairs) >= 0.99 * len(pairs)
 
 
 def components(rows, words):
