@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from kinloom.llm import decontaminate, language_id, mixing, near_dedup, suffix_dedup
 from kinloom.llm.common import materialize, table
@@ -20,7 +19,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without letters, and those that the uniform distribution explains better than any language.
     The model learns from the labelled rows of ``docs``; ``lang`` stays as it was."""
     model = language_id.train(docs.select("doc_id", "text", "lang"))
-    return language_id.predict(docs, model).filter("known").select(*docs.columns)
+    return language_id.known(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
