@@ -1,21 +1,22 @@
 """Benchmark decontamination by Wu-Manber multi-pattern search over words.
 
 A pattern is a window of ``window`` consecutive words of a benchmark item (an item of fewer words is one pattern).
-Words are the alphabet. Patterns of one length form a class with
+Words are the alphabet, known by numbers; a word that no item holds has none. Patterns of one length form a class with
  - a shift table: for every block of ``B`` words in a pattern, how far the scan may advance when that block ends the
    current position; a block that no pattern holds allows a full skip of ``m - B + 1`` words,
  - buckets of patterns by their last block (shift zero), whose words are compared directly with the text.
 
-The item set is a stated query set: it goes out to the tasks in blocks of at most ``block_bytes`` of item text, one
-scan of the rows for each block, and what the scans find is carried along with the row, so no shuffle is needed.
+The item set is a stated query set: it goes out to the tasks in blocks of at most ``block_bytes`` of item text (about 30
+bytes of memory for each). One scan of the rows serves one block and what it finds is carried along with the row, so no
+shuffle is needed; between two blocks the rows are stored, so a task never holds more than one block's tables.
 
 Null or empty text: no words, no hits. Null item text: no windows. Several items with one id count once. Repeated
-documents each get a row; other columns of the input never matter.
+documents each get a row; an empty table gives no rows. All columns of the input are kept as they are, whatever their
+names: what is found goes to one struct column with a name that is free.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes, tune
+from .common import free_name, materialize, text_bytes, tune
 
 _KEEP = set(b"0123456789abcdefghijklmnopqrstuvwxyz") | set(range(128, 256))
 #: A-Z become a-z; every byte outside the word class becomes a space. UTF-8 bytes above 127 are word bytes, so this is
@@ -36,50 +37,57 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class WuManber:
-    """Patterns (tuples of words) of one length."""
+    """Patterns of one length: places in ``stream``, the items' words as numbers one after the other."""
 
-    def __init__(self, length: int, patterns: dict[tuple, list[int]]):
-        self.m = length
+    def __init__(self, length: int, stream: list[int], places: dict[int, list[int]]):
+        self.m, self.stream, self.owners = length, stream, places
         self.B = min(2, length)
         self.skip = length - self.B + 1
-        self.shift: dict = {}
-        self.bucket: dict = defaultdict(list)
-        for p, owners in patterns.items():
+        self.shift: dict[int, int] = {}
+        self.bucket: dict[int, list[int]] = defaultdict(list)
+        for at in places:
             for j in range(self.B, length + 1):
-                block = self._block(p, j)
+                block = self._block(stream, at + j)
                 self.shift[block] = min(self.shift.get(block, self.skip), length - j)
-            self.bucket[self._block(p, length)].append((list(p), owners))
+            self.bucket[self._block(stream, at + length)].append(at)
 
-    def _block(self, p, end: int):
-        return p[end - 1] if self.B == 1 else (p[end - 2], p[end - 1])
+    def _block(self, words: list[int], end: int) -> int:
+        return words[end - 1] if self.B == 1 else words[end - 2] << 32 | words[end - 1]
 
-    def search(self, words: list[bytes]) -> Iterator[tuple[int, list[int]]]:
-        """(start, owners of the pattern) of every occurrence."""
-        m, skip, shift, bucket, n = self.m, self.skip, self.shift.get, self.bucket, len(words)
+    def search(self, words: list[int]) -> Iterator[tuple[int, list[int]]]:
+        """(start, owners of the pattern) of every occurrence in words given by their numbers; unknown ones are 0."""
+        m, skip, shift, bucket, stream, n = self.m, self.skip, self.shift.get, self.bucket, self.stream, len(words)
         end, one = m, self.B == 1
         while end <= n:
-            block = words[end - 1] if one else (words[end - 2], words[end - 1])
+            block = words[end - 1] if one else words[end - 2] << 32 | words[end - 1]
             s = shift(block, skip)
             if s:
                 end += s
                 continue
             text = words[end - m : end]
-            for p, owners in bucket[block]:
-                if p == text:
-                    yield end - m, owners
+            for at in bucket[block]:
+                if stream[at : at + m] == text:
+                    yield end - m, self.owners[at]
             end += 1
 
 
-def compile_items(items: list[tuple[str, bytes]], window: int) -> list[WuManber]:
-    classes: dict[int, dict[tuple, list[int]]] = defaultdict(lambda: defaultdict(list))
+def compile_items(items: list[tuple[str, bytes]], window: int) -> tuple[dict[bytes, int], list[WuManber]]:
+    """Numbers of the items' words (from 1), and a machine for each length of pattern."""
+    numbers: dict[bytes, int] = {}
+    stream: list[int] = []
+    first: dict[tuple, int] = {}
+    sizes: dict[int, dict[int, list[int]]] = defaultdict(dict)
     for k, (_, text) in enumerate(items):
-        w = words_of(text)
-        size = min(window, len(w))
-        for i in range(len(w) - size + 1) if w else ():
-            owners = classes[size][tuple(w[i : i + size])]
+        begin = len(stream)
+        stream += [numbers.setdefault(w, len(numbers) + 1) for w in words_of(text)]
+        n = len(stream) - begin
+        size = min(window, n)
+        for i in range(begin, begin + n - size + 1) if n else ():
+            at = first.setdefault(tuple(stream[i : i + size]), i)
+            owners = sizes[size].setdefault(at, [])
             if k not in owners[-1:]:
                 owners.append(k)
-    return [WuManber(size, patterns) for size, patterns in sorted(classes.items())]
+    return numbers, [WuManber(size, stream, places) for size, places in sorted(sizes.items())]
 
 
 def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
@@ -96,16 +104,19 @@ def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[s
     yield block
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 4 << 20) -> DataFrame:
-    """``docs`` (columns kept) with n_words, hits (array of [start, end) word ranges, sorted and disjoint) and items
-    (sorted distinct ids). Text must be in the column ``text``."""
+FOUND = "struct<n_words:bigint,hits:array<struct<start:bigint,end:bigint>>,items:array<string>>"
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 16 << 20) -> DataFrame:
+    """``docs`` and, as the last column, a struct of n_words, hits (array of [start, end) word ranges, sorted and disjoint)
+    and items (sorted distinct ids). Text must be in the column ``text``."""
     tune(docs.sparkSession)
-    kept = [c for c in docs.columns if c not in ("n_words", "hits", "items")]
-    out = docs.select(
-        *kept, F.lit(0).cast("long").alias("n_words"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("hits"),
-        F.array().cast("array<string>").alias("items"),
-    )
-    for block in item_blocks(benchmark, block_bytes):
+    name = free_name(docs.columns, "leaks")
+    start = F.struct(F.lit(0).cast("long").alias("n_words"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("hits"), F.array().cast("array<string>").alias("items"))
+    out = docs.withColumn(name, start.cast(FOUND))
+    for k, block in enumerate(item_blocks(benchmark, block_bytes)):
+        if k:
+            out = materialize(out, "scanned")
         out = out.mapInArrow(_scanner(block, window), out.schema)
     return out
 
@@ -124,53 +135,36 @@ def _scanner(items: list[tuple[str, bytes]], window: int):
     names = [i for i, _ in items]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machines = compile_items(items, window)
+        numbers, machines = compile_items(items, window)
+        number = numbers.get
         for batch in batches:
-            at = {n: batch.schema.get_field_index(n) for n in ("text", "n_words", "hits", "items")}
-            sizes, hits, found = [], [], []
-            texts = batch.column(at["text"]).cast(pa.binary())
-            for text, before, names_before in zip(texts, batch.column(at["hits"]), batch.column(at["items"]), strict=True):
-                w = words_of(text.as_py() or b"")
-                ranges = [(s, s + m.m, o) for m in machines for s, o in m.search(w)]
-                sizes.append(len(w))
-                old = [(x["start"], x["end"]) for x in before.as_py()]
-                hits.append([{"start": a, "end": b} for a, b in merge_ranges(old + [x[:2] for x in ranges])] if ranges or old else [])
-                found.append(sorted({*names_before.as_py(), *(names[k] for x in ranges for k in x[2])}))
-            columns = list(batch.columns)
-            for name, values in (("n_words", sizes), ("hits", hits), ("items", found)):
-                columns[at[name]] = pa.array(values, batch.schema.field(at[name]).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            out = []
+            texts = batch.column(batch.schema.get_field_index("text")).cast(pa.binary())
+            for text, before in zip(texts, batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+                w = [number(x, 0) for x in words_of(text.as_py() or b"")]
+                found = [(s, s + m.m, o) for m in machines for s, o in m.search(w)]
+                ranges = [(x["start"], x["end"]) for x in before["hits"]] + [x[:2] for x in found]
+                out.append({
+                    "n_words": len(w), "hits": [{"start": a, "end": b} for a, b in merge_ranges(ranges)],
+                    "items": sorted({*before["items"], *(names[k] for x in found for k in x[2])}),
+                })
+            last = batch.schema.field(batch.num_columns - 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, last.type)], schema=batch.schema)
 
     return run
 
 
 def digest(scanned: DataFrame) -> DataFrame:
     """The contract's columns of what ``scan`` gives."""
-    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
+    x = F.col(scanned.columns[-1])
+    n_hit = F.aggregate(x["hits"], F.lit(0).cast("long"), lambda a, r: a + r["end"] - r["start"])
     return scanned.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+        "doc_id", x["n_words"].alias("n_words"), n_hit.alias("n_hit"), F.size(x["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(x["items"], ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
     )
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` that hold no window of any item."""
-    return scan(docs, benchmark, **how).filter(F.size("hits") == 0).select(*docs.columns)
-
-
-def brute(texts: list[tuple[int, str | None]], items: list[tuple[int, str | None]], window: int = 10) -> list[tuple]:
-    """The same result by comparing every position with every window; for tests."""
-    out = []
-    for doc, text in texts:
-        w = words_of((text or "").encode())
-        hit, ids = set(), set()
-        for item, body in items:
-            v = words_of((body or "").encode())
-            size = min(window, len(v))
-            for i in range(len(v) - size + 1) if v else ():
-                for j in range(len(w) - size + 1):
-                    if w[j : j + size] == v[i : i + size]:
-                        hit.update(range(j, j + size))
-                        ids.add(str(item))
-        out.append((doc, len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), bool(hit)))
-    return out
+    found = scan(docs, benchmark, **how)
+    return found.filter(F.size(F.col(found.columns[-1])["hits"]) == 0).select(*docs.columns)

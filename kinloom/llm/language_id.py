@@ -12,7 +12,8 @@ than the uniform distribution does.
 
 Null text, and text without letters: ``und`` with score 0 and not known; so is everything if no labelled row exists.
 Rows without a language, or with an empty text, teach nothing. Equal texts get equal answers; no column but the text
-matters to a prediction. An empty table gives no rows.
+matters to a prediction. An empty table gives no rows. All columns of the input are kept as they are, whatever their
+names: the answer goes to one struct column with a name that is free.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_bytes, tune
+from .common import free_name, materialize, text_bytes, tune
 
 BITS = 15
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
@@ -127,34 +128,39 @@ def train(labelled: DataFrame, per_language: int = 2000, block: int = 64) -> Mod
     return Model(languages, p)
 
 
-FOUND = "lang_pred string, score double, known boolean, langs array<string>, shares array<double>"
+FOUND = "struct<lang_pred:string,score:double,known:boolean,langs:array<string>,shares:array<double>>"
 
 
 def predict(docs: DataFrame, model: Model, penalty: float = 3.0) -> DataFrame:
-    """``docs`` with lang_pred, score (the language's proportion), known, langs and shares."""
+    """``docs`` and, as the last column, a struct of lang_pred, score (the language's proportion), known, langs and
+    shares."""
     spark = docs.sparkSession
     tune(spark)
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "known", "langs", "shares")]
-    start = docs.select(*kept, *(F.lit(None).cast(t).alias(n) for n, t in (x.split(" ") for x in FOUND.split(", "))))
+    start = docs.withColumn(free_name(docs.columns, "language"), F.lit(None).cast(FOUND))
     sent = spark.sparkContext.broadcast((model.languages, model.p))
-    width = len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*sent.value)
         for batch in batches:
-            out = [m.mixture(x.as_py() or b"", penalty) for x in batch.column(batch.schema.get_field_index("text")).cast(pa.binary())]
-            new = [
-                [x[0][0] if x else "und" for x, _ in out], [x[0][1] if x else 0.0 for x, _ in out], [k for _, k in out],
-                [[lang for lang, _ in x] for x, _ in out], [[s for _, s in x] for x, _ in out],
-            ]
-            columns = [*batch.columns[:width], *(pa.array(v, batch.schema.field(width + k).type) for k, v in enumerate(new))]
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            out = []
+            for text in batch.column(batch.schema.get_field_index("text")).cast(pa.binary()):
+                found, known = m.mixture(text.as_py() or b"", penalty)
+                lang, score = found[0] if found else ("und", 0.0)
+                out.append({"lang_pred": lang, "score": min(max(score, 0.0), 1.0), "known": known, "langs": [x for x, _ in found], "shares": [x for _, x in found]})
+            last = batch.schema.field(batch.num_columns - 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, last.type)], schema=batch.schema)
 
     return start.mapInArrow(run, start.schema)
 
 
+def known(docs: DataFrame, model: Model, penalty: float = 3.0) -> DataFrame:
+    """The rows of ``docs`` whose text some language explains."""
+    found = predict(docs, model, penalty)
+    return found.filter(F.col(found.columns[-1])["known"]).select(*docs.columns)
+
+
 def identify(docs: DataFrame, per_language: int = 2000) -> DataFrame:
     """doc_id, held_out, lang_pred, score, known, langs and shares; learned from the rows that are not held out."""
     model = train(docs.filter(~held_out()).select("doc_id", "text", "lang"), per_language)
-    rows = docs.select("doc_id", held_out().alias("held_out"), "text")
-    return predict(rows, model).drop("text")
+    found = predict(docs.select("doc_id", held_out().alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", f"{found.columns[-1]}.*")

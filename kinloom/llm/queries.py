@@ -8,14 +8,6 @@ from pyspark.sql import functions as F
 from . import decontaminate, fingerprint_index, language_id, licenses, mixing, near_dedup, order_minhash, suffix_dedup, url_filter, warc
 from .common import table
 
-RULE_SQL = """
-  CASE WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/en/1%' THEN 'example.org/en/1'
-       WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/es/%' THEN 'example.org/es/'
-       WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/fr/%' THEN 'com/fr/'
-       WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/de/%' THEN 'com/de/'
-       WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/%' THEN 'org/' END"""
-
-
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = warc.archive(table(spark, sf_dir, "pages"))
     return warc.read_bundles(stored).drop("url")
@@ -57,6 +49,21 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
 
 
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op3_url_filter SQL can say: host, path, rule, and the verdict where a rule gives it."""
+    judged = op3_url_filter(spark, sf_dir)
+    return judged.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("ruled"))
+
+
+RULES_SQL = r"""
+WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 2, 's') AS path FROM pages),
+r(what, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/'))
+SELECT page_id, host, path, arg_max(h || r.p, length(h || r.p)) AS rule, arg_max(what, length(h || r.p)) AS ruled
+FROM p LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, r.p) GROUP BY ALL
+"""
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs, table(spark, sf_dir, "labels").select("doc_id", "quality")).drop("source")
@@ -137,9 +144,9 @@ FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT id AS doc_id, min(c) AS component
 
 
 def queries() -> dict:
-    found = (op1_warc, op2_decontaminate, op3_url_filter, op4_mixing, op5_language_id, op6_order_minhash, op7_licenses, op8_suffix_dedup, op9_substring_dedup, op10_near_dedup)
+    found = (op1_warc, url_rules, op2_decontaminate, op3_url_filter, op4_mixing, op5_language_id, op6_order_minhash, op7_licenses, op8_suffix_dedup, op9_substring_dedup, op10_near_dedup)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1_SQL, "op2_decontaminate": OP2_SQL, "op4_mixing": mixing.SQL, "op8_suffix_dedup": OP8_SQL, "op9_substring_dedup": OP9_SQL, "op10_near_dedup": OP10_SQL}
+    return {"op1_warc": OP1_SQL, "op2_decontaminate": OP2_SQL, "url_rules": RULES_SQL, "op7_licenses": licenses.sql(), "op4_mixing": mixing.SQL, "op8_suffix_dedup": OP8_SQL, "op9_substring_dedup": OP9_SQL, "op10_near_dedup": OP10_SQL}

@@ -1,12 +1,15 @@
 """URL filter: rules first, and for the rest gradient-boosted trees on lexical features, all as column expressions.
 
 The trees learn from the URLs that a rule judges. Their features are lengths, depth, digit ratio, entropy, parameter
-counts and the block rate of the URL's top label over all labelled rows (an aggregate that joins back). Fitting takes
-``max_train`` labelled rows at most, those with the smallest hash of their url, so a rerun takes the same ones; the
-driver fits the trees on them and the model is a sum of CASE expressions, judged inside whole-stage codegen.
+counts and suffix statistics: the block rates of the host's last label and last two labels, of the path's first segment
+and of its last one's ending. Features are computed once and stored. Fitting takes ``max_train`` labelled rows at most,
+those with the smallest hash of their url among the odd ones, so a rerun takes the same ones. The block rates, smoothed,
+are counted over all other labelled rows: no row's own verdict is in a rate that it is fitted with. The driver fits the
+trees, and the model is a sum of CASE expressions, judged inside whole-stage codegen.
 
 Null urls, or urls without ``://``: host and path are empty, and the method judges them like any other. Repeated urls
-are judged alike. Without any labelled row, every URL that no rule fits is allowed. Other columns are not touched.
+are judged alike. Without any labelled row, every URL that no rule fits is allowed. An empty table gives no rows. Other
+columns are not touched.
 """
 
 from __future__ import annotations
@@ -17,6 +20,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: (verdict, host, path prefix); a rule is written as host followed by path.
@@ -28,7 +33,9 @@ RULES = [
     ("block", "com", "/de/"),
 ]
 MAX_RULES = 1000
-FEATURES = ["url_length", "host_length", "path_length", "depth", "labels", "digits", "digit_ratio", "hyphens", "parameters", "query_length", "entropy", "suffix_rate"]
+FEATURES = ["url_length", "host_length", "path_length", "depth", "labels", "digits", "digit_ratio", "hyphens", "parameters", "query_length", "entropy", *(f"{k}_rate" for k in ("tld", "domain", "segment", "ending"))]
+#: Texts whose block rates are features.
+STATISTICS = ["tld", "domain", "segment", "ending"]
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -59,7 +66,8 @@ def entropy(c: Column) -> Column:
 
 
 def with_features(pages: DataFrame, rules=RULES) -> DataFrame:
-    """page_id, url, host, path, rule, fixed (the rule's verdict), tld and the features but for suffix_rate."""
+    """page_id, url, host, path, rule, fixed (the rule's verdict), the texts of STATISTICS and the features but for their
+    rates."""
     host, path = parts(F.col("url"))
     df = pages.select("page_id", F.coalesce(F.col("url"), F.lit("")).alias("url"), host.alias("host"), path.alias("path"))
     text, verdict = rule_columns(F.col("host"), F.col("path"), rules)
@@ -69,6 +77,7 @@ def with_features(pages: DataFrame, rules=RULES) -> DataFrame:
     n = F.length("url")
     return df.select(
         "*", text.alias("rule"), verdict.alias("fixed"), F.substring_index("host", ".", -1).alias("tld"),
+        F.substring_index("host", ".", -2).alias("domain"), F.regexp_extract("path", r"(?s)^/*([^/]*)", 1).alias("segment"), F.regexp_extract("path", r"(?s)\.([A-Za-z0-9]{1,8})$", 1).alias("ending"),
         n.cast("double").alias("url_length"), F.length("host").cast("double").alias("host_length"), F.length("path").cast("double").alias("path_length"),
         count(F.col("path"), "/").cast("double").alias("depth"), count(F.col("host"), ".").cast("double").alias("labels"),
         digits.cast("double").alias("digits"), F.when(n > 0, digits / n).otherwise(0.0).alias("digit_ratio"),
@@ -78,12 +87,22 @@ def with_features(pages: DataFrame, rules=RULES) -> DataFrame:
     )
 
 
-def with_suffix_rate(df: DataFrame, prior: float = 20.0) -> DataFrame:
-    """Adds the smoothed block rate of the top label, counted over all labelled rows."""
-    rates = df.filter("fixed is not null").groupBy("tld").agg(
-        F.sum(F.when(F.col("fixed") == "block", 1.0).otherwise(0.0)).alias("b"), F.count(F.lit(1)).alias("n")
-    ).select("tld", ((F.col("b") + prior / 2) / (F.col("n") + prior)).alias("rate"))
-    return df.join(rates, "tld", "left").withColumn("suffix_rate", F.coalesce("rate", F.lit(0.5))).drop("rate")
+def to_fit(df: DataFrame, max_train: int) -> Column:
+    """Whether a row is one of the ``max_train`` labelled rows that the trees are fitted on."""
+    o = F.xxhash64("url")
+    odd = F.col("fixed").isNotNull() & (F.pmod(o, F.lit(2)) == 1)
+    last = df.filter(odd).select(o.alias("o")).orderBy("o").limit(max_train).agg(F.max("o")).first()[0]
+    return F.lit(False) if last is None else odd & (o <= last)
+
+
+def with_rates(df: DataFrame, fitted: Column, prior: float = 20.0) -> DataFrame:
+    """Adds the smoothed block rate of each statistic over all labelled rows that are not ``fitted``. The tables of counts
+    join by shuffle or, where Spark finds them small, by broadcast."""
+    counted = df.filter(F.col("fixed").isNotNull() & ~fitted)
+    for k in STATISTICS:
+        rates = counted.groupBy(k).agg(((F.count_if(F.col("fixed") == "block") + prior / 2) / (F.count(F.lit(1)) + prior)).alias(f"{k}_rate"))
+        df = df.join(rates, k, "left").withColumn(f"{k}_rate", F.coalesce(f"{k}_rate", F.lit(0.5)))
+    return df
 
 
 @dataclass
@@ -163,17 +182,19 @@ def fit(rows: list[tuple[list[float], int]], n_trees: int = 20, depth: int = 3,
     return model
 
 
-def train(featured: DataFrame, max_train: int = 4096, **how) -> Trees:
-    """Fits on the ``max_train`` rule-labelled rows whose url has the smallest hash."""
-    picked = featured.filter("fixed is not null").select(*FEATURES, (F.col("fixed") == "block").cast("int").alias("y"), F.xxhash64("url").alias("o"), "url")
+def train(rated: DataFrame, fitted: Column, max_train: int = 4096, **how) -> Trees:
+    """Fits on the ``fitted`` rows, ``max_train`` at most where urls repeat."""
+    picked = rated.filter(fitted).select(*FEATURES, (F.col("fixed") == "block").cast("int").alias("y"), F.xxhash64("url").alias("o"), "url")
     rows = picked.orderBy("o", "url").limit(max_train).drop("url", "o").collect()
     return fit([(list(r)[:-1], r[-1]) for r in rows], **how)
 
 
 def judge(pages: DataFrame, rules=RULES, max_train: int = 4096) -> DataFrame:
     """page_id, host, path, rule, verdict and block_score (the trees' probability of ``block``)."""
-    featured = with_suffix_rate(with_features(pages, rules))
-    margin = train(featured, max_train).column()
-    scored = featured.withColumn("block_score", 1 / (1 + F.exp(-margin)))
+    featured = materialize(with_features(pages, rules), "features")
+    fitted = to_fit(featured, max_train)
+    rated = with_rates(featured, fitted)
+    margin = train(rated, fitted, max_train).column()
+    scored = rated.withColumn("block_score", 1 / (1 + F.exp(-margin)))
     verdict = F.coalesce("fixed", F.when(F.col("block_score") > 0.5, "block").otherwise("allow"))
     return scored.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "block_score")

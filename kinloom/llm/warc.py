@@ -30,6 +30,7 @@ from .common import materialize, tune
 SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 
+SALTS = 16
 DATE = "1970-01-01T00:00:00Z"
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
 
@@ -104,24 +105,23 @@ BUNDLE = (
 def mark_revisits(pages: DataFrame, key: str, payload: str, min_revisit_bytes: int = 100) -> DataFrame:
     """``pages`` with payload, payload_bytes, payload_digest, record_type and refers_to.
 
-    The smallest id of each digest is found by a partial aggregate over (digest, id); only digests that occur with
-    more than one row join back, so the join's key side is small, and AQE splits a hot digest on the other side."""
+    Payloads under ``min_revisit_bytes`` meet no join. The smallest id of each digest is found by a partial aggregate;
+    only digests that occur with more than one row join back, each laid out ``SALTS`` times, so that the rows of a hot
+    payload are dealt over as many tasks."""
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
     rows = pages.select(
         F.col(key).cast("long").alias("rid"), F.col("url").alias("url"), body.alias("payload")
     ).select("*", F.octet_length("payload").cast("long").alias("n_bytes"), F.sha2("payload", 256).alias("digest"))
-    firsts = (
-        rows.filter(F.col("n_bytes") >= min_revisit_bytes)
-        .groupBy("digest")
-        .agg(F.min("rid").alias("first_rid"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-        .drop("n")
-    )
+    large = rows.filter(F.col("n_bytes") >= min_revisit_bytes).withColumn("salt", F.pmod(F.xxhash64("rid", "url"), F.lit(SALTS)).cast("int"))
+    firsts = large.groupBy("digest").agg(F.min("rid").alias("first_rid"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    firsts = firsts.select("digest", "first_rid", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     again = F.col("first_rid").isNotNull() & ~F.col("rid").eqNullSafe(F.col("first_rid"))
-    return rows.join(firsts, "digest", "left").select(
+    marked = large.join(firsts, ["digest", "salt"], "left").select(
         "rid", "url", F.when(again, F.lit(b"")).otherwise(F.col("payload")).alias("payload"), "n_bytes", "digest",
         F.when(again, "revisit").otherwise("response").alias("kind"), F.when(again, F.col("first_rid")).alias("refers"),
     )
+    small = rows.filter(F.col("n_bytes") < min_revisit_bytes)
+    return marked.unionByName(small.select("rid", "url", "payload", "n_bytes", "digest", F.lit("response").alias("kind"), F.lit(None).cast("long").alias("refers")))
 
 
 def bundles(records: DataFrame, frame_bytes: int = 1 << 20, bundle_bytes: int = 16 << 20, level: int = 3) -> DataFrame:
@@ -223,15 +223,17 @@ def record_index(stored: DataFrame) -> DataFrame:
 
 
 def fetch(stored: DataFrame, record_id: int) -> DataFrame:
-    """The raw records of one id, each read by inflating a single frame."""
+    """The raw records of one id. The index columns are read first; then only the bundles that hold the id, by a filter
+    that reaches the scan, and of each a single frame is inflated."""
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data, f, o, n in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 yield pa.RecordBatch.from_arrays([pa.array([read_record(data, f, o, n)], pa.binary())], names=["record"])
 
-    at = record_index(stored).filter(F.col("record_id") == record_id)
-    return at.join(stored.select("bundle", "data"), "bundle").select("data", "frame", "offset", "length").mapInArrow(pick, "record binary")
+    at = record_index(stored.filter(F.array_contains("record_ids", record_id))).filter(F.col("record_id") == record_id)
+    holders = [r.bundle for r in at.select("bundle").distinct().collect()]
+    return at.join(stored.filter(F.col("bundle").isin(holders)).select("bundle", "data"), "bundle").select("data", "frame", "offset", "length").mapInArrow(pick, "record binary")
 
 
 def export_bundles(stored: DataFrame, folder: str) -> None:

@@ -8,7 +8,9 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from kinloom.llm import anchors, decontaminate, fingerprint_index, near_dedup, suffix_dedup
+from kinloom.llm import anchors, fingerprint_index, near_dedup, suffix_dedup
+
+from .brute import contaminated
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -41,6 +43,9 @@ def test_suffix_array_and_prefixes():
         sa = suffix_dedup.suffix_array(text)
         keys = [text[i : i + suffix_dedup.DEPTH] for i in sa]
         assert sorted(sa.tolist()) == list(range(len(text))) and keys == sorted(keys)
+        wanted = np.array([rng.random() < 0.3 for _ in text])
+        part = suffix_dedup.suffix_array(text, wanted)
+        assert set(np.flatnonzero(wanted)) <= set(part.tolist()) and [text[i : i + suffix_dedup.DEPTH] for i in part] == sorted(text[i : i + suffix_dedup.DEPTH] for i in part)
         lcp = suffix_dedup.common_prefixes(text, sa)
         for a, b, n in zip(keys, keys[1:], lcp[1:], strict=False):
             m = next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
@@ -106,7 +111,7 @@ def test_substring_dedup(spark):
 
 
 def ranges_of(index, asks, texts):
-    cuts = anchors.cut_rows(anchors.pieces(asks, texts, fingerprint_index.UNIT, index.buckets), fingerprint_index.verify, index.buckets)
+    cuts = anchors.cut_rows(anchors.pieces(asks, texts, fingerprint_index.UNIT, index.buckets, fingerprint_index.again), fingerprint_index.verify, index.buckets)
     rows = anchors.per_document(cuts, anchors.CUT, "cut", index.buckets, whole=True).collect()
     return {r.key: [list(x) for x in zip(*(y.tolist() for y in anchors.merged(bytes(r.cut))), strict=True)] for r in rows}
 
@@ -142,7 +147,7 @@ def test_removal_needs_the_array(spark, monkeypatch):
     work = lambda: anchors.in_blocks(iter([batch]), 1 << 20, lambda *_: iter(()))
     df = spark.createDataFrame(rows, DOCS)
     texts = anchors.prepare(df)
-    found = anchors.pieces(anchors.read_buckets(anchors.extract(texts, suffix_dedup.UNIT, 4), suffix_dedup.UNIT, 4), texts, suffix_dedup.UNIT, 4)
+    found = anchors.pieces(anchors.read_buckets(anchors.extract(texts, suffix_dedup.UNIT, 4), suffix_dedup.UNIT, 4), texts, suffix_dedup.UNIT, 4, suffix_dedup.again)
     batch = pa.Table.from_batches(found.toArrow().to_batches()).combine_chunks().to_batches()[0]
     assert list(suffix_dedup.compare(iter([batch]))) and not list(work())
     monkeypatch.setattr(suffix_dedup, "common_prefixes", lambda text, sa, depth=0: np.zeros(len(sa), np.int64))
@@ -260,6 +265,6 @@ def test_pipeline(spark, tmp_path):
     texts = sorted((k, t.encode()) for k, t in left.items())
     gone = brute(texts, 100, True)
     plain = {k: suffix_dedup.kept_text(s, *(__import__("numpy").array([r[i] for r in gone[k]], dtype=int) for i in (0, 1))) for k, s in texts}
-    bad = {r[0] for r in decontaminate.brute(list(plain.items()), items) if r[-1]}
+    bad = {r[0] for r in contaminated(list(plain.items()), items) if r[-1]}
     assert bad and set(got) == set(plain) - bad
     assert all(got[k].size == len(plain[k].split()) and 0 <= got[k].taken <= 3 * got[k].size for k in got)
