@@ -43,7 +43,7 @@ from .hashing import P1, mix, range_hashes, word_hashes
 TREES, BASE, DEPTH = 32, 4, 8
 APART = 56
 WORK = 1 << 24
-TILE = 2_000_000
+TILE = 250_000
 SALTS = 16
 _draw = np.random.Generator(np.random.PCG64(77))
 _FACTORS = (_draw.integers(0, 1 << 31, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)).astype(np.uint32)
