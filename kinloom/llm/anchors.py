@@ -19,7 +19,9 @@ space and asks for blocks:
             so a hot passage is compared by many tasks, each against a copy of A.
     MIXED   different contexts under one h may share some windows: the class's firsts meet in a block named by h.
     SPLIT   a block of more than ``MIXED_MOST`` of those is split by content: every window goes to the block of its own
-            symbols' hash, so a gram that stands in very many neighbourhoods burdens no single task.
+            symbols' hash, so a gram that stands in very many neighbourhoods burdens no single task. Before they are
+            sent, the task that holds their texts compares them with each other, and only windows that do not repeat
+            there go on; the ranges that go are passed along as such (GONE).
 
 Empty tables give no rows. Null texts are empty. A null id stands before all others; rows that share an id, or have
 none, are numbered in the order of their texts, in ranges, so that no id's rows are gathered in one task.
@@ -48,7 +50,7 @@ ENTRY = [np.uint64, np.uint64, np.int64, np.int64, np.int32, np.uint8, np.uint8]
 ASK = [np.int64, np.int64, np.uint8, np.int32, np.uint8, np.uint64, np.int32, np.uint32]
 #: A range of symbols that goes: key, idx, start, end.
 CUT = [np.int64, np.int64, np.int32, np.int32]
-REPEAT, SOURCE, MIXED, SPLIT = 0, 1, 2, 3
+REPEAT, SOURCE, MIXED, SPLIT, GONE = 0, 1, 2, 3, 4
 MIXED_MOST = 1024
 SEGMENT = 16  # a block holds A's windows that start in one stretch of 2^16 symbols
 HELD = 2_000_000  # rows that a task gathers before it lets go what it can
@@ -275,41 +277,59 @@ def stretches(kind: np.ndarray, s: np.ndarray, n: np.ndarray, block: np.ndarray,
         yield from zip([role] * len(heads), b[heads].view(np.int64).tolist(), i[heads].tolist(), last.tolist(), f[heads].tolist(), strict=True)
 
 
-def pieces(asks: DataFrame, texts: DataFrame, unit: Unit, buckets: int) -> DataFrame:
+def pieces(asks: DataFrame, texts: DataFrame, unit: Unit, buckets: int, again, chunk_bytes: int = 1 << 20) -> DataFrame:
     """PIECE rows, the rows of one block together and its sources first. A piece is the symbols that its windows cover;
-    words are joined by one space."""
+    words are joined by one space. ``again(rows)`` says for rows (key, idx, start, piece) which windows, counted from the
+    piece's start, repeat an earlier one of them."""
     asked = per_document(asks, ASK, "asked", buckets, whole=False)
-    # The same columns as in the last join with the texts, and a shuffle at every size: Spark then moves the texts once.
+    # All columns of the texts stay, as in the last join with them, and there is a shuffle at every size: Spark then
+    # moves the texts once for both joins.
     joined = texts.join(asked.hint("merge"), ["key", "idx"]).select("key", "idx", "text", "asked", *(c for c in texts.columns if c not in ("key", "idx", "text")))
     names = [x.split(" ")[0] for x in PIECE.split(", ")]
     types = (pa.int64(), pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    symbols = (lambda x: x) if unit.name == "byte" else bytes.split
+    joint = b"" if unit.name == "byte" else b" "
+    cut = lambda body, a, e: body[a:e] if unit.name == "byte" else joint.join(body[a:e])
+
+    def ship(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+
+    def split(held: list[tuple]) -> list[tuple]:
+        out = []
+        for (key, idx, start, piece), gone in zip(held, again(held), strict=True):
+            body = symbols(piece)
+            out += [(key, GONE, key, idx, start + int(a), start + int(e), b"") for a, e in zip(*merge(gone, gone + unit.window), strict=True)]
+            for k in sorted(set(range(len(body) - unit.window + 1)) - set(gone.tolist())):
+                window = cut(body, k, k + unit.window)
+                name = int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little", signed=True)
+                out.append((name, MIXED, key, idx, start + k, start + k, window))
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        held: list[tuple] = []
+        size = waiting = 0
         for batch in batches:
-            rows: list[tuple] = []
-            size = 0
             for key, idx, text, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
-                text = text.as_py()
-                body = text if unit.name == "byte" else text.split()
+                body = symbols(text.as_py())
                 kind, s, n, block, first, copies = unpack(blob.as_py(), ASK[2:])
-                cut = lambda a, e: body[a:e] if unit.name == "byte" else b" ".join(body[a:e])  # noqa: B023, E731
                 for role, name, start, windows, f in stretches(kind, s, n, block, first, copies):
-                    rows.append((name, role, key, idx, start, f, cut(start, start + windows + unit.window - 1)))
+                    rows.append((name, role, key, idx, start, f, cut(body, start, start + windows + unit.window - 1)))
                     size += len(rows[-1][6])
                 for start, more in zip(s[kind == SPLIT].tolist(), n[kind == SPLIT].tolist(), strict=True):
-                    for k in range(start, start + more + 1):
-                        window = cut(k, k + unit.window)
-                        name = int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little", signed=True)
-                        rows.append((name, MIXED, key, idx, k, k, window))
-                        size += len(window)
-                if size > 4 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+                    held.append((key, idx, start, cut(body, start, start + more + unit.window)))
+                    waiting += len(held[-1][3])
+                if waiting > chunk_bytes:
+                    yield ship(split(held))
+                    held, waiting = [], 0
+                if size > 4 * chunk_bytes:
+                    yield ship(rows)
                     rows, size = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+        rows += split(held) if held else []
+        if rows:
+            yield ship(rows)
 
-    rows = joined.select("key", "idx", "text", "asked").mapInArrow(run, PIECE)
-    return rows.repartition(buckets, "block").sortWithinPartitions("block", F.col("role") != SOURCE)
+    return joined.mapInArrow(run, PIECE).repartition(buckets, "block").sortWithinPartitions("block", F.col("role") != SOURCE)
 
 
 def in_blocks(batches: Iterator[pa.RecordBatch], chunk_bytes: int, work) -> Iterator[tuple[int, int, int, int]]:
@@ -321,6 +341,9 @@ def in_blocks(batches: Iterator[pa.RecordBatch], chunk_bytes: int, work) -> Iter
     size = fresh = 0
     for batch in batches:
         for row in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
+            if row[1] == GONE:
+                yield row[2:6]
+                continue
             if row[0] != now:
                 held[0].extend(sources)
                 held[1].extend(repeats + mixed)

@@ -180,12 +180,10 @@ def verify(batches: Iterator[pa.RecordBatch], chunk_bytes: int = 1 << 20) -> Ite
     compared with its source's words; what does not agree as a whole, and mixed pieces, window by window."""
 
     def by_window(rows: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
-        first: dict[bytes, tuple] = {}
-        for key, idx, start, piece in sorted({x[2:5] + (x[6],) for x in rows}):
-            words, doc = piece.split(b" "), (key, idx)
-            for k in range(len(words) - WINDOW + 1):
-                if first.setdefault(b" ".join(words[k : k + WINDOW]), doc) != doc:
-                    yield key, idx, start + k, start + k + WINDOW
+        rows = sorted({x[2:5] + (x[6],) for x in rows})
+        for (key, idx, start, _), gone in zip(rows, again(rows), strict=True):
+            for a, b in zip(*anchors.merge(gone, gone + WINDOW), strict=True):
+                yield key, idx, start + int(a), start + int(b)
 
     def work(sources: list[tuple], rest: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
         blocks: dict[int, tuple[list, list, list]] = {}
@@ -207,6 +205,18 @@ def verify(batches: Iterator[pa.RecordBatch], chunk_bytes: int = 1 << 20) -> Ite
     return anchors.in_blocks(batches, chunk_bytes, work)
 
 
+def again(rows: list[tuple]) -> list[np.ndarray]:
+    """Of rows (key, idx, start, piece) the windows, from the piece's start, whose words an earlier document among them
+    holds too."""
+    first: dict[bytes, tuple] = {}
+    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(rows)
+    for k in sorted(range(len(rows)), key=lambda k: rows[k][:3]):
+        words, doc = rows[k][3].split(b" "), rows[k][:2]
+        windows = (b" ".join(words[i : i + WINDOW]) for i in range(len(words) - WINDOW + 1))
+        out[k] = np.array([i for i, w in enumerate(windows) if first.setdefault(w, doc) != doc], np.int64)
+    return out
+
+
 def batches(texts: DataFrame, n: int) -> list[DataFrame]:
     """The rows in ``n`` batches of about as many rows, by ranges of the key."""
     bounds = sorted({int(x) for x in texts.approxQuantile("key", [k / n for k in range(1, n)], 0.01)}) if n > 1 else []
@@ -226,7 +236,7 @@ def cuts(texts: DataFrame, buckets: int, n_batches: int = 4, fanout: int = 3) ->
     for batch in batches(texts, n_batches):
         got = index.add(batch)
         asks = got if asks is None else asks.unionByName(got)
-    return anchors.cut_rows(anchors.pieces(asks, texts, UNIT, buckets), verify, buckets)
+    return anchors.cut_rows(anchors.pieces(asks, texts, UNIT, buckets, again), verify, buckets)
 
 
 def _digest(text: bytes, s: np.ndarray, e: np.ndarray) -> tuple:

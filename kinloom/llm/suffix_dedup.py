@@ -41,8 +41,9 @@ def direct_sort(padded: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
     return at[np.argsort(view[at])]
 
 
-def suffix_array(text: bytes, depth: int = DEPTH) -> np.ndarray:
-    """Starts of all suffixes, in the order of at least their first ``depth`` bytes (ties in any order)."""
+def suffix_array(text: bytes, wanted: np.ndarray | None = None, depth: int = DEPTH) -> np.ndarray:
+    """Starts of the ``wanted`` suffixes (a mask; all without one) in the order of at least their first ``depth`` bytes,
+    ties in any order. A suffix that is not wanted is left out unless a wanted one is induced from it."""
     n = len(text)
     t = np.frombuffer(text, np.uint8)
     padded = np.zeros(n + depth + 16, np.uint8)
@@ -54,23 +55,31 @@ def suffix_array(text: bytes, depth: int = DEPTH) -> np.ndarray:
     source = np.where(rise != 0, np.arange(n), n - 1)
     source = np.minimum.accumulate(source[::-1])[::-1]
     small = rise[source] > 0
-    counts = np.bincount(t, minlength=256)
+    if wanted is None:
+        need = np.ones(n, bool)
+    else:  # a wanted large suffix needs its successors up to the first small one
+        near = np.minimum.accumulate(np.where(small, np.arange(n), n - 1)[::-1])[::-1]
+        reach = np.maximum.accumulate(np.where(wanted, near, -1))
+        need = np.arange(n) <= reach
+    counts = np.bincount(t[need], minlength=256)
     end = np.cumsum(counts)
     begin = end - counts
-    sa = np.empty(n, np.int64)
-    direct = direct_sort(padded, np.flatnonzero(small), depth)
+    sa = np.empty(int(need.sum()), np.int64)
+    direct = direct_sort(padded, np.flatnonzero(small & need), depth)
     n_small = np.bincount(t[direct], minlength=256)
     at = 0
     for c in np.flatnonzero(n_small):
         sa[end[c] - n_small[c] : end[c]] = direct[at : at + n_small[c]]
         at += n_small[c]
     fill = begin.copy()
-    sa[fill[t[-1]]] = n - 1
-    fill[t[-1]] += 1
+    if need[-1]:
+        sa[fill[t[-1]]] = n - 1
+        fill[t[-1]] += 1
+    large = need & ~small
 
     def induce(seen: np.ndarray) -> None:
         before = seen[seen > 0] - 1
-        before = before[~small[before]]
+        before = before[large[before]]
         if not len(before):
             return
         chars = t[before]
@@ -126,8 +135,9 @@ def repeats(pieces: list[bytes], places: np.ndarray | None = None, window: int =
     ends = np.cumsum(sizes)
     begins = ends - sizes
     owner = np.repeat(np.arange(len(pieces)), sizes)
-    sa = suffix_array(text) if text else np.zeros(0, np.int64)
-    sa = sa[sa + window <= ends[owner[sa]]]
+    starts = np.arange(len(text)) + window <= ends[owner]
+    sa = suffix_array(text, starts) if starts.any() else np.zeros(0, np.int64)
+    sa = sa[starts[sa]]
     if not len(sa):
         return [np.zeros(0, np.int64) for _ in pieces]
     place = sa if places is None else places[owner[sa]] + (sa - begins[owner[sa]])
@@ -144,19 +154,23 @@ def compare(batches: Iterator[pa.RecordBatch], chunk_bytes: int = 1 << 20) -> It
 
     def work(sources: list[tuple], rest: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
         rows = sorted({x[2:5] + (x[6],) for x in sources + rest}, key=lambda x: (x[:3], -len(x[3])))
-        documents = {d: k for k, d in enumerate(dict.fromkeys(x[:2] for x in rows))}
-        places = np.array([(documents[x[:2]] << 32) + x[2] for x in rows], np.int64)
-        for (key, idx, start, _), again in zip(rows, repeats([x[3] for x in rows], places), strict=True):
-            for a, b in zip(*anchors.merge(again, again + WINDOW), strict=True):
+        for (key, idx, start, _), gone in zip(rows, again(rows), strict=True):
+            for a, b in zip(*anchors.merge(gone, gone + WINDOW), strict=True):
                 yield key, idx, start + int(a), start + int(b)
 
     return anchors.in_blocks(batches, chunk_bytes, work)
 
 
+def again(rows: list[tuple]) -> list[np.ndarray]:
+    """Of rows (key, idx, start, piece) the windows, from the piece's start, that also start at an earlier place."""
+    documents = {d: k for k, d in enumerate(sorted({x[:2] for x in rows}))}
+    return repeats([x[3] for x in rows], np.array([(documents[x[:2]] << 32) + x[2] for x in rows], np.int64))
+
+
 def cuts(texts: DataFrame, buckets: int) -> DataFrame:
     """Ranges that go, dealt by document, of keyed rows."""
     asks = anchors.read_buckets(anchors.extract(texts, UNIT, buckets), UNIT, buckets)
-    return anchors.cut_rows(anchors.pieces(asks, texts, UNIT, buckets), compare, buckets)
+    return anchors.cut_rows(anchors.pieces(asks, texts, UNIT, buckets, again), compare, buckets)
 
 
 def kept_bytes(text: bytes, s: np.ndarray, e: np.ndarray) -> bytes:
