@@ -7,9 +7,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from . import master as M
 from . import values as V
-from .similarity import jaro_winkler, similarity
+from .similarity import jaro_winkler, score_distinct, similarity
 from .text import compact_alnum
 
 _STRIP = {*V.BUSINESS_SUFFIXES, *V.BUSINESS_DESCRIPTORS, *V.INDUSTRY_TERMS, "AND", "THE"}
@@ -113,11 +114,14 @@ def address_features(df: DataFrame, address: str, city: str, zip_: str, prefix:
 def compare_addresses(pairs: DataFrame, s: str = "s", m: str = "m") -> DataFrame:
     """Adds same_address, address_score and address_reason to pairs that carry both sides' ``address_features``.
 
-    String similarities run in Python; every rule is a column expression over them."""
+    String similarities run in Python, once for each distinct pair of strings; every rule is a column expression over
+    them."""
     col = lambda side, n: F.col(f"{side}_{n}")
     both_core_empty = (col(s, "core") == "") & (col(m, "core") == "")
     pick = lambda side: F.when(both_core_empty, col(side, "tail")).otherwise(col(side, "core"))
-    df = pairs.withColumn("__a", closeness(col(s, "addr"), col(m, "addr"))).withColumn("__c", closeness(col(s, "city"), col(m, "city"))).withColumn("__t", closeness(pick(s), pick(m)))
+    df = base = materialize(pairs.withColumns({"__s": pick(s), "__m": pick(m)}), "addresses")
+    for left, right, out in ((f"{s}_addr", f"{m}_addr", "__a"), (f"{s}_city", f"{m}_city", "__c"), ("__s", "__m", "__t")):
+        df = score_distinct(df, left, right, closeness, out, base)
     no_city = (col(s, "city") == "") | (col(m, "city") == "")
     city = F.when(no_city, F.lit(0.9)).otherwise(F.col("__c"))
     z1, z2 = col(s, "zip"), col(m, "zip")
@@ -154,7 +158,11 @@ def compare_addresses(pairs: DataFrame, s: str = "s", m: str = "m") -> DataFrame
         score = F.when(when, value).otherwise(score)
         same = F.when(when, alike).otherwise(same)
         reason = F.when(when, why).otherwise(reason)
-    return df.withColumn("same_address", same).withColumn("address_score", score).withColumn("address_reason", reason).drop("__a", "__c", "__t")
+    return df.withColumn("same_address", same).withColumn("address_score", score).withColumn("address_reason", reason).drop("__a", "__c", "__t", "__s", "__m")
 
 
-__all__ = ["address_features", "closeness", "compact_alnum", "compare_addresses", "name_compare", "name_score", "token_overlap"]
+
+
+def three_way(same: Column, score: Column) -> Column:
+    """The verdict on the address of a record whose identifier is known."""
+    return F.when(same, "EXISTING ADDRESS").when(score >= 0.75, "LIKELY SAME ADDRESS").otherwise("NEW ADDRESS")

@@ -1,4 +1,4 @@
-"""Address labels with wrapped lines."""
+"""Address labels: the parts of an address, each on lines of its own."""
 
 from __future__ import annotations
 
@@ -9,30 +9,36 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# What a PO box and a unit look like in a label.
-_BOX = re.compile(r"(P\s*\.?\s*O\s*\.?\s*B\s*O\s*X\s+\S+)", re.IGNORECASE)
-_UNIT = re.compile(r"\b(?:STE|APT|UNIT(?:\s+(?:NO\.?|NUM))?|SUITE)\s+#?\s*[^\s#]+\s+(.*)")
-_EDGE = ",%&"
+# What a PO box and a unit look like in a label, and the signs that may hang on to what is left.
+BOX = r"P\s*\.?\s*O\s*\.?\s*B\s*O\s*X\s+\S+"
+UNIT = r"\b(?:STE|APT|UNIT(?:\s+(?:NO\.?|NUM))?|SUITE)\s+#?\s*[^\s#]+"
+EDGE = ",%&"
+
+_BOXED = re.compile(f"(?P<box>{BOX})", re.IGNORECASE)
+_UNITED = re.compile(f"(?P<street>.*?{UNIT})\\s+(?P<tail>\\S.*)")
+#: The order of the parts on a label.
+LAYOUT = ("box", "beside", "street", "tail", "lead")
+
+
+def parts(raw: str, normal: str) -> dict[str, str]:
+    """What an address consists of. With a PO box: ``box`` and what stands ``beside`` it (in the raw text, if the box is
+    there too). Else the ``street`` up to its unit, the ``tail`` behind the unit, and the ``lead``: words of the raw text
+    before the house number that the normalized address does not hold."""
+    if boxed := _BOXED.search(normal):
+        carrier = raw if _BOXED.search(raw) else normal
+        return {"box": boxed["box"], "beside": " ".join(_BOXED.sub("", carrier, count=1).split()).strip(EDGE)}
+    united = _UNITED.fullmatch(normal)
+    out = united.groupdict() if united else {"street": normal}
+    house = re.match(r"\d+", normal)
+    before, *behind = re.split(rf"\b{house[0]}\b", raw, maxsplit=1) if house else [""]
+    lead = before.strip().rstrip(EDGE) if behind else ""
+    return out | {"lead": "" if lead in normal else lead}
 
 
 def label(raw: str | None, normal: str | None, width: int = 45) -> str:
-    """The normalized address in lines of ``width``: a PO box first, then what else the raw text says; else the street,
-    what follows its unit on a line of its own, and last the words that stood before the house number."""
-    raw, normal = (raw or "").strip().upper(), (normal or "").strip()
-    if box := _BOX.search(normal):
-        source, at = (raw, _BOX.search(raw)) if _BOX.search(raw) else (normal, box)
-        rest = " ".join((source[: at.start()] + source[at.end() :]).split()).strip(_EDGE)
-        parts = [box[1].strip(), rest]
-    else:
-        street, tail, lead = normal, "", ""
-        if (unit := _UNIT.search(normal)) and unit[1].strip():
-            street, tail = normal[: unit.start(1)].strip(), unit[1].strip()
-        if number := re.match(r"\d+", normal):
-            spot = re.search(rf"\b{number[0]}\b", raw)
-            before = raw[: spot.start()].strip().rstrip(_EDGE) if spot else ""
-            lead = "" if before in normal else before
-        parts = [street, tail, lead]
-    return "\n".join(line.lstrip() for p in parts if p for line in textwrap.wrap(p, width))
+    """The parts in the order of LAYOUT, wrapped to lines of ``width``."""
+    found = parts((raw or "").strip().upper(), (normal or "").strip())
+    return "\n".join(line for kind in LAYOUT for line in textwrap.wrap(found.get(kind, ""), width))
 
 
 @F.pandas_udf(T.StringType())

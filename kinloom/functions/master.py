@@ -168,3 +168,20 @@ def normalization_detail(raw: Column, trust: bool = False) -> Column:
     return F.when(s == "", "EMPTY_INPUT").otherwise(F.array_join(F.array_compact(F.array(*notes)), "; "))
 
 
+
+
+def audit_detail(source: Column, master: Column) -> Column:
+    """What was changed on either side, in one line; empty if nothing was."""
+    said = lambda who, c: F.when(c != "", F.concat(F.lit(f"{who}: "), c))
+    return F.concat_ws(" | ", said("source", source), said("dec", master))
+
+
+def boost_detail(detail: Column, source: Column, score: Column) -> Column:
+    """The rule of a match, and behind it the boost, if there was one."""
+    boost = F.when(source.isNotNull(), F.concat(F.lit("BOOST("), source, F.lit("): "), F.format_string("%.3f", score)))
+    return F.concat_ws("; ", F.when(detail != "", detail), boost)
+
+
+def score_changed(old: Column, new: Column) -> Column:
+    """Whether a judge's score is ten or more away from the computed one."""
+    return F.coalesce(F.abs(new - old) >= 10, F.lit(False))

@@ -35,27 +35,35 @@ def candidates(source: DataFrame, master: DataFrame) -> DataFrame:
     return out.withColumns({"ssn_status": status, "match_count": F.coalesce("match_count", F.lit(0))})
 
 
+def name_features(df: DataFrame, prefix: str) -> DataFrame:
+    """Normalized names of one side, computed once a record: the name, those in the address, and the contact."""
+    contact = F.array_compact(F.array(F.when(safe(F.col("contact_person")) != "", M.normalize_name(F.col("contact_person")))))
+    names = F.transform(M.names_in_address(F.col("address")), lambda x: M.normalize_name(x))
+    return df.withColumns({f"{prefix}_name": M.normalize_name(F.col("name")), f"{prefix}_names": names, f"{prefix}_contact": contact})
+
+
 def _boost(df: DataFrame) -> DataFrame:
     """Adds name_score and name_boost_source: where the plain comparison stays below 0.95, names in the address fields
     and the master's contact may raise it, to 0.95 at most; of equal scores the first source in order counts."""
-    n = lambda col: M.normalize_name(col)
-    s_names, m_names, contact = M.names_in_address(F.col("address")), M.names_in_address(F.col("m_address")), F.array_compact(F.array(F.when(safe(F.col("m_contact_person")) != "", F.col("m_contact_person"))))
-    name, master = F.array(F.col("name")), F.array(F.col("m_name"))
+    arr = lambda *names: F.array(*(F.col(n) for n in names))
 
     def cross(what: str, left: Column, right: Column) -> Column:
         return F.flatten(F.transform(left, lambda a: F.transform(right, lambda b: F.struct(F.lit(what).alias("what"), a.alias("a"), b.alias("b")))))
 
+    name, others = arr("s_name"), F.col("s_names")
+    master, contact, m_names = arr("m_f_name"), F.col("m_f_contact"), F.col("m_f_names")
     tries = F.concat(
-        cross("PRIMARY", name, master), cross("DEC_CONTACT", name, contact), cross("SOURCE_ADDR_NAME", s_names, master), cross("SOURCE_ADDR+DEC_CONTACT", s_names, contact),
-        cross("DEC_ADDR_NAME", name, m_names), cross("SOURCE_ADDR+DEC_ADDR", s_names, m_names),
+        cross("PRIMARY", name, master), cross("DEC_CONTACT", name, contact), cross("SOURCE_ADDR_NAME", others, master), cross("SOURCE_ADDR+DEC_CONTACT", others, contact),
+        cross("DEC_ADDR_NAME", name, m_names), cross("SOURCE_ADDR+DEC_ADDR", others, m_names),
     )
-    rows = df.select("record_id", "m_record_id", F.posexplode(tries)).select("record_id", "m_record_id", "pos", "col.what", n(F.col("col.a")).alias("a"), n(F.col("col.b")).alias("b"))
+    rows = df.select("record_id", "m_record_id", F.posexplode(tries)).select("record_id", "m_record_id", "pos", "col.what", "col.a", "col.b")
     rows = materialize(rows, "names")
     rows = score_distinct(rows, "a", "b", C.name_compare, "r").withColumn("s", F.col("r.name_score"))
     primary = F.max(F.when(F.col("what") == "PRIMARY", F.col("s")))
-    got = rows.groupBy("record_id", "m_record_id").agg(primary.alias("p"), F.max_by(F.struct("what"), F.struct(F.when(F.col("what") != "PRIMARY", F.least("s", F.lit(0.95))), -F.col("pos"))).alias("w"), F.max(F.when(F.col("what") != "PRIMARY", F.least("s", F.lit(0.95)))).alias("x"))
+    rule = F.max(F.when(F.col("what") == "PRIMARY", F.col("r.rule"))).alias("name_rule")
+    got = rows.groupBy("record_id", "m_record_id").agg(rule, primary.alias("p"), F.max_by(F.struct("what"), F.struct(F.when(F.col("what") != "PRIMARY", F.least("s", F.lit(0.95))), -F.col("pos"))).alias("w"), F.max(F.when(F.col("what") != "PRIMARY", F.least("s", F.lit(0.95)))).alias("x"))
     lifted = (F.col("p") < 0.95) & (F.col("x") > F.col("p"))
-    got = got.select("record_id", "m_record_id", F.when(lifted, F.col("x")).otherwise(F.col("p")).alias("name_score"), F.when(lifted, F.col("w.what")).alias("name_boost_source"))
+    got = got.select("record_id", "m_record_id", "name_rule", F.when(lifted, F.col("x")).otherwise(F.col("p")).alias("name_score"), F.when(lifted, F.col("w.what")).alias("name_boost_source"))
     return df.join(got, ["record_id", "m_record_id"])
 
 
@@ -66,8 +74,8 @@ def match(source: DataFrame, master: DataFrame, buckets=V.BUCKETS) -> DataFrame:
     ``source`` and ``master`` have record_id, name, address, city, state, zip, contact_person and ssn."""
     fields = ["record_id", "name", "address", "city", "state", "zip", "contact_person", "ssn"]
     source, master = source.select(*fields), master.select(*fields)
-    s = C.address_features(source, "address", "city", "zip", "s")
-    m = C.address_features(master, "address", "city", "zip", "f")
+    s = materialize(name_features(C.address_features(source, "address", "city", "zip", "s"), "s"), "source")
+    m = materialize(name_features(C.address_features(master, "address", "city", "zip", "f"), "f"), "master")
     joined = materialize(candidates(s, m), "met")
     met = joined.filter("ssn_status = 'MATCHED'")
     met = _boost(met)
@@ -82,13 +90,19 @@ def match(source: DataFrame, master: DataFrame, buckets=V.BUCKETS) -> DataFrame:
         F.when(F.col("address_reason") == "UNKNOWN_ADDRESS", "UNKNOWN_ADDRESS"),
     )
     combo = lambda p, t: F.concat_ws(" ", M.normalize_name(F.col(p + "name"), t), M.normalize_address(F.col(p + "address"), t), M.normalize_city(F.col(p + "city")), F.upper(safe(F.col(p + "state"))), M.normalize_zip(F.col(p + "zip")))
-    met = met.withColumns({"is_trust": trust, "ca": combo("", trust), "cb": combo("m_", False)})
+    met = materialize(met, "best").withColumns({"is_trust": trust, "ca": combo("", trust), "cb": combo("m_", False)})
     met = met.withColumn("nameaddrscore", M.round5(jaro_winkler_udf("ca", "cb") * 100))
+    met = met.withColumns({
+        "name_ambiguous": M.ambiguous_name(F.col("n100"), F.lit(100.0)),
+        "address_ambiguous": M.ambiguous_address(F.col("a100"), F.col("s_zip"), F.col("m_f_zip"), F.array_sort("s_nums"), F.array_sort("m_f_nums")),
+        "name_norm_detail": M.audit_detail(M.normalization_detail(F.col("name")), M.normalization_detail(F.col("m_name"))),
+        "name_match_detail": M.boost_detail(F.col("name_rule"), F.col("name_boost_source"), F.col("name_score")),
+    })
     met = met.withColumns({"review_reason": gate, "is_trust": (F.col("is_trust") | M.is_trust(F.col("m_name"), F.col("m_address"))).cast("int")})
     verdict = F.when(F.col("review_reason").isNotNull(), V.NEEDS_REVIEW).otherwise(M.classify(F.col("n100"), F.col("a100"), buckets))
     best = met.select(
         "record_id", "ssn_status", "match_count", F.col("m_record_id").alias("master_id"), F.lit(100.0).alias("ssn_match"), F.col("n100").alias("name_score"), F.col("a100").alias("address_score"),
-        "address_reason", "name_boost_source", "nameaddrscore", "possible_address_matches", "review_reason", "is_trust", verdict.alias("recommendation"), M.mask_ssn(F.col("ssn")).alias("ssn_masked"), "name", "state", "m_name",
+        "address_reason", "name_boost_source", "nameaddrscore", "possible_address_matches", "review_reason", "is_trust", verdict.alias("recommendation"), M.mask_ssn(F.col("ssn")).alias("ssn_masked"), "name", "state", "m_name", "name_ambiguous", "address_ambiguous", "name_norm_detail", "name_match_detail",
     )
     rest = joined.filter("ssn_status <> 'MATCHED'")
     gate = M.quality_gate(*(F.col(x) for x in ("name", "address", "city", "state", "zip")))
@@ -98,6 +112,7 @@ def match(source: DataFrame, master: DataFrame, buckets=V.BUCKETS) -> DataFrame:
         F.col("ssn_status").alias("address_reason"), F.lit(None).cast("string").alias("name_boost_source"), F.lit(None).cast("double").alias("nameaddrscore"), F.lit(0).cast("long").alias("possible_address_matches"),
         gate.alias("review_reason"), M.is_trust(F.col("name"), F.col("address")).cast("int").alias("is_trust"),
         F.when(gate.isNotNull() | (F.col("ssn_status") == "NO_SSN"), V.NEEDS_REVIEW).otherwise(M.classify(zero, zero, buckets)).alias("recommendation"), M.mask_ssn(F.col("ssn")).alias("ssn_masked"), "name", "state", F.lit("").alias("m_name"),
+        F.lit(False).alias("name_ambiguous"), F.lit(False).alias("address_ambiguous"), F.lit("").alias("name_norm_detail"), F.lit("").alias("name_match_detail"),
     )
     return best.unionByName(alone)
 
@@ -106,6 +121,27 @@ def override_scores(results: DataFrame, judged: DataFrame, buckets=V.BUCKETS) ->
     """Name scores replaced by a judge's (record_id, score 0 to 100), and the recommendation decided anew for rows
     that no quality gate holds."""
     out = results.join(judged.select("record_id", M.round5(F.col("score")).alias("__j")), "record_id", "left")
-    out = out.withColumns({"score_changed": F.coalesce(F.abs(F.col("__j") - F.col("name_score")) >= 10, F.lit(False)), "name_score": F.coalesce("__j", "name_score")})
+    out = out.withColumns({"score_changed": M.score_changed(F.col("name_score"), F.col("__j")), "name_score": F.coalesce("__j", "name_score")})
     again = F.when(F.col("review_reason").isNull() & F.col("__j").isNotNull(), M.classify(F.col("name_score"), F.col("address_score"), buckets)).otherwise(F.col("recommendation"))
     return out.withColumn("recommendation", again).drop("__j")
+
+
+def judge_names(results: DataFrame, judge, buckets=V.BUCKETS) -> DataFrame:
+    """The ambiguous names go to an outside judge (pandas batches of record_id, name, m_name in; record_id, score out);
+    its scores override."""
+    asked = results.filter("name_ambiguous").select("record_id", "name", "m_name")
+    return override_scores(results, materialize(asked.mapInPandas(judge, "record_id bigint, score double"), "judged"), buckets)
+
+
+ADDRESS = ["address", "city", "state", "zip"]
+
+
+def validate_addresses(df: DataFrame, validator) -> DataFrame:
+    """``df`` with its addresses as an outside service writes them. The service (pandas batches of address, city, state,
+    zip in; the same and new_address, new_city, new_state, new_zip out) sees each different address once."""
+    distinct = df.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ADDRESS)).distinct()
+    told = distinct.mapInPandas(validator, ", ".join(f"{c} string" for c in [*ADDRESS, *(f"new_{c}" for c in ADDRESS)]))
+    told = materialize(told, "validated")
+    keys = [F.coalesce(df[c], F.lit("")) == told[c] for c in ADDRESS]
+    out = df.join(told, keys, "left").select(*(F.coalesce(told[f"new_{c}"], df[c]).alias(c) if c in ADDRESS else df[c] for c in df.columns))
+    return out

@@ -47,9 +47,10 @@ def top_states(df: DataFrame, n: int = 10) -> DataFrame:
 
 
 def group_report(df: DataFrame) -> DataFrame:
-    """Each cluster with its size, its names in id order, and the largest and mean score."""
+    """Each cluster with its size, its names in id order, and the largest and mean score. A row holds its cluster's names:
+    the report is for clusters that a person can read."""
     names = F.transform(F.array_sort(F.collect_list(F.struct("record_id", "name"))), lambda x: x["name"])
-    out = df.filter("cluster_id <> -1").groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"), names.alias("names"), F.round(F.max("similarity_score") * 100, 1).alias("max_score"))
+    out = df.filter("cluster_id <> -1").groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"), names.alias("names"), F.round(F.max("similarity_score") * 100, 1).alias("max_score"), F.round(F.avg("similarity_score") * 100, 1).alias("avg_score"))
     return out.withColumn("names", F.array_join("names", ","))
 
 
@@ -63,3 +64,33 @@ def savings(n_rows: Column, n_pairs: Column) -> Column:
     """Share of all pairs that blocking spares, in percent with one decimal."""
     every = n_rows * (n_rows - 1) / 2
     return F.round(100 * (1 - n_pairs / every), 1)
+
+
+def summary(results: DataFrame, buckets: list[str], sources: list[str]) -> DataFrame:
+    """(section, metric, value) over the matcher's results, from one aggregate: totals, recommendations, boosts, trusts,
+    multiple matches and the distribution of name scores among matched rows."""
+    n, hit, trust, s = F.count(F.lit(1)), F.col("ssn_match") == 100, F.col("is_trust") == 1, F.col("name_score")
+    count = F.count_if
+    cells = [
+        ("OVERALL", "records", n), ("OVERALL", "distinct identifiers", F.countDistinct(F.when(F.col("ssn_masked") != "", F.col("ssn_masked")))), ("OVERALL", "matched", count(hit)), ("OVERALL", "not matched", count(~hit)),
+        *(("BY RECOMMENDATION", b, count(F.col("recommendation") == b)) for b in buckets),
+        ("NAME BOOST", "boosted", count(hit & F.col("name_boost_source").isNotNull())), *(("NAME BOOST", b, count(hit & (F.col("name_boost_source") == b))) for b in sources),
+        ("TRUST", "trusts", count(trust)), ("TRUST", "matched trusts", count(trust & hit)), ("TRUST", "unmatched trusts", count(trust & ~hit)), ("TRUST", "percent of records", F.round(100.0 * count(trust) / F.greatest(n, F.lit(1)), 1)),
+        ("DUPLICATE RISK", "multiple matches", count(hit & (F.col("match_count") > 1))), ("DUPLICATE RISK", "possible address matches", count(F.col("possible_address_matches") > 0)),
+        ("DUPLICATE RISK", "mean matches", F.round(F.avg(F.when(hit, F.col("match_count"))), 1)), ("DUPLICATE RISK", "most matches", F.max(F.when(hit, F.col("match_count")))),
+        *(("NAME SCORES", b, count(hit & w)) for b, w in (("100", s == 100), ("90-95", s.between(90, 95)), ("80-85", s.between(80, 85)), ("70-75", s.between(70, 75)), ("<70", s < 70))),
+    ]
+    row = results.agg(*(v.cast("double").alias(f"v{k}") for k, (_, _, v) in enumerate(cells)))
+    out = F.array(*(F.struct(F.lit(a).alias("section"), F.lit(b).alias("metric"), F.col(f"v{k}").alias("value")) for k, (a, b, _) in enumerate(cells)))
+    return row.select(F.explode(out).alias("x")).select("x.*")
+
+
+def text_report(rows: DataFrame) -> str:
+    """A summary's rows as lines of text, section by section; a summary has a fixed number of rows."""
+    lines, now = [], None
+    for r in rows.collect():
+        if r.section != now:
+            now = r.section
+            lines += ["", now, "-" * len(now)]
+        lines.append(f"{r.metric:<36}{'' if r.value is None else f'{r.value:g}':>12}")
+    return "\n".join(lines).strip() + "\n"

@@ -42,22 +42,27 @@ def rank_in_cluster(order: list[Column], cluster: str = "cluster_id") -> Column:
     return F.row_number().over(Window.partitionBy(cluster).orderBy(*order, "record_id"))
 
 
+def _group(cluster: str) -> Column:
+    """The cluster, and a group of its own for each singleton."""
+    return F.when(F.col(cluster) == -1, -F.col("record_id") - 2).otherwise(F.col(cluster))
+
+
 def most_complete(df: DataFrame, fields=V.COMPLETENESS_FIELDS, cluster: str = "cluster_id", fill: bool = True) -> DataFrame:
     """One row a cluster: the record with the most filled fields. With ``fill``, its blanks come from the first record
     that has a value, and a plain zip becomes the first ZIP+4 with the same five digits. Singletons pass."""
-    done = df.withColumn("__c", completeness(fields)).withColumn("__g", F.when(F.col(cluster) == -1, -F.col("record_id") - 2).otherwise(F.col(cluster)))
+    done = df.withColumn("__c", completeness(fields)).withColumn("__g", _group(cluster))
     done = done.withColumn("__r", rank_in_cluster([F.desc("__c")], "__g"))
     if not fill:
         return done.filter("__r = 1").drop("__c", "__g", "__r")
-    group = Window.partitionBy("__g").orderBy("record_id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     text = [c for c, t in df.dtypes if t == "string"]
-    first = {c: F.first(F.when(~blank(F.col(c)), F.col(c)), ignorenulls=True).over(group) for c in text}
-    out = done.select("*", *(v.alias(f"__f_{c}") for c, v in first.items()), *([F.collect_list(F.when(F.col("zip").contains("-"), F.trim("zip"))).over(group).alias("__z")] if "zip" in text else []))
-    out = out.filter("__r = 1").withColumns({c: F.when(blank(F.col(c)), F.coalesce(f"__f_{c}", F.col(c))).otherwise(F.col(c)) for c in text})
-    if "zip" in text:
-        base = F.substring(digits(F.col("zip")), 1, 5)
-        longer = F.try_element_at(F.filter("__z", lambda z: F.substring(digits(z), 1, 5) == base), F.lit(1))
-        out = out.withColumn("zip", F.when(~F.col("zip").contains("-") & (base != ""), F.coalesce(longer, F.col("zip"))).otherwise(F.col("zip")))
+    filled = lambda c: F.when(~blank(F.col(c)), F.col("record_id"))
+    first = done.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"), *(F.min_by(c, filled(c)).alias(f"__f_{c}") for c in text))
+    out = done.filter("__r = 1").join(first, "__g").withColumns({c: F.when(blank(F.col(c)), F.coalesce(f"__f_{c}", F.col(c))).otherwise(F.col(c)) for c in text})
+    if "zip" in text:  # a plain zip meets the cluster's first longer one with its five digits
+        five = F.substring(digits(F.col("zip")), 1, 5)
+        longer = df.withColumn("__g", _group(cluster)).filter(F.col("zip").contains("-")).groupBy("__g", five.alias("__b")).agg(F.min_by(F.trim("zip"), "record_id").alias("__l"))
+        out = out.withColumn("__b", five).join(longer, ["__g", "__b"], "left")
+        out = out.withColumn("zip", F.when(~F.col("zip").contains("-") & (F.col("__b") != ""), F.coalesce("__l", F.col("zip"))).otherwise(F.col("zip")))
     return out.select(*df.columns)
 
 
@@ -96,9 +101,16 @@ def cluster_stats(df: DataFrame, fields=V.COMPLETENESS_FIELDS) -> DataFrame:
 
 def merge_summary(df: DataFrame) -> DataFrame:
     """First name, up to five different names, and the count of each cluster of two or more."""
-    names = F.transform(F.array_sort(F.collect_list(F.struct("record_id", "name"))), lambda x: x["name"])
-    out = df.filter("cluster_id <> -1").groupBy("cluster_id").agg(names.alias("n"), F.count(F.lit(1)).alias("record_count")).filter("record_count > 1")
-    return out.select("cluster_id", F.element_at("n", 1).alias("first_name"), F.array_join(F.slice(F.array_distinct("n"), 1, 5), " | ").alias("all_names"), "record_count")
+    names = df.filter("cluster_id <> -1").groupBy("cluster_id", "name").agg(F.min("record_id").alias("f"), F.count(F.lit(1)).alias("n"))
+    names = names.withColumn("r", F.row_number().over(Window.partitionBy("cluster_id").orderBy("f")))
+    five = F.transform(F.array_sort(F.collect_list(F.when(F.col("r") <= 5, F.struct("r", "name")))), lambda x: x["name"])
+    out = names.groupBy("cluster_id").agg(F.min_by("name", "f").alias("first_name"), F.array_join(five, " | ").alias("all_names"), F.sum("n").alias("record_count"))
+    return out.filter("record_count > 1")
+
+
+def cluster_records(df: DataFrame, cluster_id) -> DataFrame:
+    """The records of one cluster, or of those in a table of cluster ids."""
+    return df.join(cluster_id, "cluster_id", "left_semi") if isinstance(cluster_id, DataFrame) else df.filter(F.col("cluster_id") == cluster_id)
 
 
 def similarity_to_first(df: DataFrame, scored: DataFrame) -> DataFrame:
@@ -111,6 +123,6 @@ def similarity_to_first(df: DataFrame, scored: DataFrame) -> DataFrame:
 
 
 def exact_names(df: DataFrame, fields=V.COMPLETENESS_FIELDS) -> DataFrame:
-    """One record for each upper-cased name: the most complete one."""
+    """One record for each upper-cased name: the most complete one. Blank names are one name like any other."""
     keyed = df.withColumn("__k", F.upper(F.trim("name"))).withColumn("__c", completeness(fields))
     return keyed.withColumn("__r", rank_in_cluster([F.desc("__c")], "__k")).filter("__r = 1").drop("__k", "__c", "__r")

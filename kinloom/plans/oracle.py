@@ -58,6 +58,17 @@ def master_name(x: str) -> str:
     return singles_joined(n)
 
 
-def parse_words(x: str) -> str:
-    """Columns l (words without title) and title of a name, as a subquery's select list."""
-    return x
+def sorted_words(x: str) -> str:
+    """A text as the token-sort ratio reads it: lower case, words of letters and digits in order."""
+    return f"array_to_string(list_sort({words(sub(f'lower({x})', '[^a-z0-9]+', ' '))}), ' ')"
+
+
+def ratios(source: str, name: str) -> str:
+    """Common table expressions ``name(a, b, ratio)``: the Indel ratio in percent of every distinct pair (a, b) of the
+    table ``source``, by the textbook recurrence of the longest common subsequence, one row of the matrix a step."""
+    cand = "list_transform(range(1, len(row) + 1), lambda j: CASE WHEN j = 1 THEN 0 WHEN substr(b, (j - 1)::BIGINT, 1) = substr(a, (i + 1)::BIGINT, 1) THEN row[j - 1] + 1 ELSE row[j] END)"
+    return f"""{name}_p AS MATERIALIZED (SELECT DISTINCT a, b FROM {source}),
+  {name}_s AS (SELECT a, b, 0::BIGINT AS i, list_transform(range(0, length(b) + 1), lambda x: 0::BIGINT) AS row FROM {name}_p WHERE a <> b
+    UNION ALL SELECT a, b, i + 1, list_transform(range(1, len(cand) + 1), lambda j: list_max(cand[1:j])) FROM (SELECT a, b, i, {cand}::BIGINT[] AS cand FROM {name}_s WHERE i < length(a))),
+  {name} AS MATERIALIZED (SELECT a, b, CASE WHEN a = '' OR b = '' THEN 0 ELSE round_even(200 * row[len(row)] / (length(a) + length(b))::DOUBLE, 0) END::INT AS ratio FROM {name}_s WHERE i = length(a)
+    UNION ALL SELECT a, b, CASE WHEN a = '' THEN 0 ELSE 100 END FROM {name}_p WHERE a = b)"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import logging
 import time
 from collections.abc import Callable
@@ -16,7 +18,7 @@ from ..session import materialize
 log = logging.getLogger("kinloom")
 Stage = Callable[[DataFrame, dict], DataFrame]
 #: Columns that a stage's result must have.
-PROMISES = {"validate": ["address_normalized", "zip_normalized", "name_normalized"], "match": ["cluster_id", "similarity_score"]}
+PROMISES = {"validate": ["address_normalized", "zip_normalized", "name_normalized"], **dict.fromkeys(("match", "hybrid_match", "judge_match"), ["cluster_id", "similarity_score"])}
 
 
 def _validate(df: DataFrame, cfg: dict) -> DataFrame:
@@ -44,6 +46,12 @@ def _hybrid(df: DataFrame, cfg: dict) -> DataFrame:
     return survivorship.assign_clusters(df, links)
 
 
+def _judge(df: DataFrame, cfg: dict) -> DataFrame:
+    """Every pair of a state goes to an outside judge; what it accepts is clustered."""
+    pairs = materialize(scoring.pair_up(blocking.all_pairs_by_state(df), df, cfg.get("fields", ["name", "address", "city", "state", "zip"])), "asked")
+    return survivorship.assign_clusters(df, scoring.judge_pairs(pairs, cfg["judge"], cfg.get("threshold", 0.80)).select("id_a", "id_b", "score"))
+
+
 def _merge(df: DataFrame, cfg: dict) -> DataFrame:
     return survivorship.merge_all(df, cfg.get("strategy", "most_complete"))[0]
 
@@ -52,7 +60,7 @@ def _output(df: DataFrame, cfg: dict) -> DataFrame:
     return validate.drop_working_columns(df)
 
 
-REGISTRY: dict[str, Stage] = {"validate": _validate, "match": _match, "hybrid_match": _hybrid, "merge": _merge, "output": _output}
+REGISTRY: dict[str, Stage] = {"validate": _validate, "match": _match, "hybrid_match": _hybrid, "judge_match": _judge, "merge": _merge, "output": _output}
 
 
 def register(name: str, stage: Stage) -> None:
@@ -62,7 +70,8 @@ def register(name: str, stage: Stage) -> None:
 @dataclass
 class Pipeline:
     """``steps``: dicts with a stage's name and config, as in a workflow file. With a ``state`` folder each result is
-    stored, and a later run with ``resume`` reads the stored results again."""
+    stored under a key of the input, the stage, its config and all stages before it, and a later run with ``resume`` reads
+    those stored results again that have the same key: after a change everything downstream is computed anew."""
 
     steps: list[dict]
     state: str | None = None
@@ -76,11 +85,17 @@ class Pipeline:
         p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
         return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
+    def _key(self, before: str, step: dict) -> str:
+        name = lambda x: f"{getattr(x, '__module__', '')}.{getattr(x, '__qualname__', repr(x))}"
+        return hashlib.sha256(json.dumps([before, step["stage"], step.get("config", {})], sort_keys=True, default=name).encode()).hexdigest()[:16]
+
     def run(self, df: DataFrame, resume: bool = False) -> DataFrame:
         spark = df.sparkSession
+        key = fingerprint(df) if self.state else ""
         for k, step in enumerate(self.steps):
             name, began = step["stage"], time.time()
-            path = f"{self.state}/{k}_{name}" if self.state else None
+            key = self._key(key, step)
+            path = f"{self.state}/{k}_{name}_{key}" if self.state else None
             if not (path and resume and self._done(spark, path)):
                 out = REGISTRY[name](df, step.get("config", {}))
                 if missing := [c for c in PROMISES.get(name, []) if c not in out.columns]:
@@ -93,6 +108,12 @@ class Pipeline:
         return df
 
 
+def fingerprint(df: DataFrame) -> str:
+    """What tells two inputs apart: the schema, the number of rows and a sum over their hashes, in one pass."""
+    row = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*(F.col(f"`{c}`").cast("string") for c in df.columns)).cast("decimal(38,0)"))).first()
+    return hashlib.sha256(f"{df.schema.simpleString()} {row[0]} {row[1]}".encode()).hexdigest()
+
+
 def format_duration(seconds: float) -> str:
     if seconds < 60:
         return f"{seconds:.1f}s"

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import keys as K
+from ..functions import labels as L
 from ..functions import master as M
 from ..functions import records as R
 from ..functions import text as T
 from ..functions import values as V
-from ..functions.labels import address_label
 from . import oracle as O
 from .people import CTE, source
 from .registry import query
@@ -160,10 +160,19 @@ _HITS = "list_filter([" + ", ".join(f"CASE WHEN regexp_matches(upper(name), {O.q
 scalar("p11_review_keywords", lambda: F.array_join(K.review_keywords(c("name")), ","), f"array_to_string({_HITS}, ',')")
 _REASON = f"coalesce({O.table('upper(trim(k))', V.REVIEW_REASONS)}, 'Contains keyword \"' || k || '\" which requires human review')"
 scalar("p12_review_reason", lambda: K.review_reason(K.review_keywords(c("name"))), f"array_to_string(list_transform({_HITS}, lambda k: {_REASON}), ' | ')")
-scalar("p19_score_changed", lambda: F.abs(c("record_id") % 37 - c("record_id") % 23) >= 10, "abs(record_id % 37 - record_id % 23) >= 10")
+scalar("p19_score_changed", lambda: M.score_changed(c("record_id") % 37, c("record_id") % 23), "abs(record_id % 37 - record_id % 23) >= 10")
 scalar("m07_round5", lambda: M.round5((c("record_id") % 101).cast("double")).cast("int"), "cast(round_even((record_id % 101) / 5.0, 0) * 5 AS INTEGER)")
 scalar("m20_completeness", lambda: R.completeness(V.COMPLETENESS_FIELDS), " + ".join(f"(trim({f}) <> '')::INT" for f in V.COMPLETENESS_FIELDS))
 query("f38_tokenize_pii", f"{CTE} SELECT record_id, CASE WHEN {SSN} = '' THEN '' ELSE sha256({SSN} || '|{SALT}') END AS ssn_token, CASE WHEN {SSN} = '' THEN '' ELSE 'XXX-XX-' || right({SSN}, 4) END AS ssn_masked FROM ba")(
     lambda spark, d: source(spark, d).select("record_id", R.token_of(R.clean_ssn(c("ssn")), SALT).alias("ssn_token"), R.mask_ssn(c("ssn")).alias("ssn_masked"))
 )
-query("f24_address_label")(lambda spark, d: source(spark, d).select("record_id", address_label(c("address"), M.normalize_address(c("address"))).alias("value")))
+_RAW_BOX = lambda x: f"regexp_extract({x}, {O.q('(?i)' + L.BOX)})"
+_BESIDE = f"trim(trim({O.squeeze(f"regexp_replace(CASE WHEN {_RAW_BOX('raw')} <> '' THEN raw ELSE value END, {O.q('(?i)' + L.BOX)}, '')")}, '{L.EDGE}'))"
+_BEFORE = f"rtrim(trim(CASE WHEN house <> '' AND strpos(raw, house) > 1 THEN substr(raw, 1, strpos(raw, house) - 1) ELSE '' END), '{L.EDGE}')"
+#: Every part of these records fits one line.
+query("f24_address_label", f"""{CTE}, n AS ({_ADDR}), x AS (SELECT record_id, value, upper(trim(address)) AS raw, regexp_extract(value, '^\d+') AS house FROM n JOIN ba USING (record_id)),
+  y AS (SELECT *, {_BEFORE} AS before, regexp_extract(value, {O.q(f'^(.*?{L.UNIT})\s+\S.*$')}, 1) AS street, regexp_extract(value, {O.q(f'^.*?{L.UNIT}\s+(\S.*)$')}, 1) AS tail FROM x)
+  SELECT record_id, CASE WHEN {_RAW_BOX('value')} <> '' THEN concat_ws(chr(10), {_RAW_BOX('value')}, nullif({_BESIDE}, ''))
+    ELSE concat_ws(chr(10), nullif(coalesce(nullif(street, ''), value), ''), nullif(tail, ''), nullif(CASE WHEN contains(value, before) THEN '' ELSE before END, '')) END AS value FROM y""")(
+    lambda spark, d: source(spark, d).select("record_id", L.address_label(c("address"), M.normalize_address(c("address"))).alias("value"))
+)

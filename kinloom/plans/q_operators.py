@@ -19,7 +19,7 @@ from ..session import materialize
 from ..sources import readers, sinks
 from . import oracle as O
 from .people import CTE, master, source
-from .pipeline import Pipeline, name_dedup
+from .pipeline import Pipeline
 from .q_functions import MATCH_KEY, NAME_TOKEN, SALT, SSN, SSN_MASTER
 from .registry import query
 
@@ -110,7 +110,7 @@ query("p03_required_blanks", f"{CTE} SELECT count(*) FILTER (trim(name) = '') AS
 query("p03_drop_invalid", f"{CTE} SELECT record_id FROM ba WHERE trim(name) <> '' AND trim(address) <> ''")(lambda spark, d: validate.require_fields(source(spark, d), drop_invalid=True).select("record_id"))
 query("p04_optional_fields", f"{CTE} SELECT record_id, '' AS city, '' AS notes FROM ba")(lambda spark, d: validate.add_optional_fields(source(spark, d).select("record_id")).select("record_id", "city", "notes"))
 query("p07_cluster_records", f"{CL_CTE} SELECT record_id, name FROM cl WHERE cluster_id = (SELECT min(cluster_id) FROM cl WHERE cluster_id >= 0)")(
-    lambda spark, d: (lambda x: x.join(x.filter("cluster_id >= 0").agg(F.min("cluster_id").alias("cluster_id")), "cluster_id").select("record_id", "name"))(clustered(spark, d))
+    lambda spark, d: (lambda x: S.cluster_records(x, x.filter("cluster_id >= 0").agg(F.min("cluster_id").alias("cluster_id"))).select("record_id", "name"))(clustered(spark, d))
 )
 _BY_ZIP = "a JOIN v b ON a.zip_normalized = b.zip_normalized AND a.zip_normalized <> '' AND a.record_id < b.record_id"
 query("p17_hybrid_buckets", f"{CTE} SELECT CASE WHEN s >= 0.95 THEN 'certain' WHEN s >= 0.75 THEN 'uncertain' ELSE 'low' END AS bucket, count(*) AS n FROM (SELECT (record_id % 101) / 100.0::DOUBLE AS s FROM ba) GROUP BY 1")(
@@ -215,7 +215,9 @@ query("l05_batches", f"{CTE} SELECT record_id, ((row_number() OVER (ORDER BY rec
 query("a02_prefilter_split", f"{V_CTE} SELECT record_id, CASE WHEN ssn_token = '' THEN 0 ELSE n END AS key_count, ssn_token = '' OR n <> 1 AS needs_dedup FROM (SELECT record_id, ssn_token, count(*) OVER (PARTITION BY ssn_token) AS n FROM v)")(
     lambda spark, d: prefilter.split_unique(valid(spark, d), c("ssn_token")).select("record_id", "key_count", "needs_dedup")
 )
-query("a01_exact_dedup", "SELECT text, count(*) AS n FROM documents GROUP BY text")(lambda spark, d: spark.read.parquet(f"{d}/documents.parquet").groupBy("text").agg(F.count(F.lit(1)).alias("n")))
+query("a01_exact_dedup", f"{CTE} SELECT record_id, name, address FROM ba")(
+    lambda spark, d: (lambda df: validate.validate(df.unionByName(df.filter("record_id % 3 = 0")), SALT).select("record_id", "name", "address"))(source(spark, d))
+)
 query("f41_geo_enrich", f"""{CTE}, p AS (SELECT * FROM (VALUES {', '.join(str((k, *r)) for k, r in enumerate(geo.PLACES))}) AS t(ord, pz, pc, ps, county)),
   x AS (SELECT record_id, zip, city, state, (SELECT arg_min(pz, ord) FROM p WHERE lower(pc) = lower(trim(city)) AND ps = upper(trim(state))) AS fz, (SELECT arg_min(pc, ord) FROM p WHERE pz = substr(zip, 1, 5)) AS fc, (SELECT arg_min(ps, ord) FROM p WHERE pz = substr(zip, 1, 5)) AS fs FROM ba)
   SELECT record_id, CASE WHEN zip = '' THEN coalesce(fz, zip) ELSE zip END AS zip, CASE WHEN city = '' THEN coalesce(fc, city) ELSE city END AS city, CASE WHEN state = '' THEN coalesce(fs, state) ELSE state END AS state,
@@ -240,18 +242,6 @@ def _(spark, d):
     return scoring.record_pairs(v, B.candidates(v, with_fallback=True))
 
 
-@query("m13_mean_pairs")
-def _(spark, d):
-    v = materialize(valid(spark, d), "valid")
-    return scoring.mean_pairs(v, B.candidates(v, with_fallback=True), ["name", "address", "city"])
-
-
-@query("m15_name_dedup")
-def _(spark, d):
-    auto, flagged = name_dedup(source(spark, d))
-    return auto.unionByName(flagged).select("record_id", "name_parsed", "match_key", F.size("review_keywords").alias("n_keywords"), "cluster_id", "similarity_score")
-
-
 @query("m22_hybrid_pipeline")
 def _(spark, d):
     steps = [{"stage": "validate", "config": {"salt": SALT}}, {"stage": "hybrid_match"}, {"stage": "merge"}, {"stage": "output"}]
@@ -286,7 +276,7 @@ query("a09_score_bands", f"{CTE} SELECT CASE WHEN s = 100 THEN '100' WHEN s >= 9
     lambda spark, d: reports.score_bands(source(spark, d).select(((c("record_id") % 21) * 5).alias("s")), "s")
 )
 query("l01_top_states", f"{CTE} SELECT state, count(*) AS n FROM ba WHERE trim(state) <> '' GROUP BY 1 ORDER BY n DESC, state LIMIT 10")(lambda spark, d: reports.top_states(source(spark, d)))
-query("a13_group_report", f"{CL_CTE} SELECT cluster_id, count(*) AS n, string_agg(name, ',' ORDER BY record_id) AS names, round(max(similarity_score) * 100, 1) AS max_score FROM cl WHERE cluster_id <> -1 GROUP BY 1")(lambda spark, d: reports.group_report(clustered(spark, d)))
+query("a13_group_report", f"{CL_CTE} SELECT cluster_id, count(*) AS n, string_agg(name, ',' ORDER BY record_id) AS names, round(max(similarity_score) * 100, 1) AS max_score, round(avg(similarity_score) * 100, 1) AS avg_score FROM cl WHERE cluster_id <> -1 GROUP BY 1")(lambda spark, d: reports.group_report(clustered(spark, d)))
 query("a13_size_histogram", f"{CL_CTE} SELECT size, count(*) AS clusters FROM (SELECT count(*) AS size FROM cl WHERE cluster_id <> -1 GROUP BY cluster_id) GROUP BY 1")(lambda spark, d: reports.size_histogram(clustered(spark, d)))
 
 

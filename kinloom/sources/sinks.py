@@ -65,3 +65,11 @@ def grouped_review(df: DataFrame) -> DataFrame:
     """The review file's rows: each cluster's records together, singletons marked as such."""
     kind = F.when(F.col("cluster_id") == -1, "Single record").otherwise("Potential duplicate group")
     return df.select(kind.alias("group_type"), "cluster_id", "record_id", "name", "city", "state", "similarity")
+
+
+#: The order of each kind of output.
+ORDERS = {"matches": ["recommendation", "record_id"], "golden": ["cluster_id", "state", "city", "record_id"], "review": ["needs_review", "cluster_id", "state", "city", "record_id"]}
+
+
+def in_order(df: DataFrame, kind: str) -> DataFrame:
+    return df.orderBy(*ORDERS[kind])
