@@ -12,7 +12,7 @@ from ..sources import readers, sinks
 from . import oracle as O
 from .people import CTE, source
 from .pipeline import Pipeline, name_dedup
-from .q_functions import _ADDR, _FLIP, _HITS, MATCH_KEY, SALT
+from .q_functions import _ADDR, _FLIP, _FULL, _HITS, _PARSED, _SPLIT, _SUFFIX, _TYPE, MATCH_KEY, SALT, _dept
 from .q_operators import CL_CTE, Q_CTE, TS, V_CTE, clustered, queue, valid
 from .registry import query
 
@@ -96,6 +96,72 @@ def _shifted(spark: SparkSession, d: str, column: str) -> DataFrame:
 query("m14_name_matches", _two("name", 0.85))(lambda spark, d: scoring.name_matches(_shifted(spark, d, "name"), "a", "b").select("id_a", "id_b", "score", "is_match"))
 query("m14_address_matches", _two("address", 0.80))(lambda spark, d: scoring.address_matches(_shifted(spark, d, "address"), "a", "b").select("id_a", "id_b", "score", "is_match"))
 
+# ---- Record pairs, and the pipelines over them ----------------------------------------------------------------------------
+
+_PLACE = O.squeeze(O.sub(O.chain(O.squeeze(f"lower({O.safe('ba.address')})"), values.PIPELINE_ADDRESS_RULES), r"[^\w\s\-]", ""))
+_READY = f"""w AS MATERIALIZED (SELECT v.*, {_TYPE('ba.name')} AS kind, {_dept('ba.name')} AS dept, {O.squeeze(O.safe('t.rest'))} AS plain, {_SUFFIX('q.suffix')} AS gen, {_PLACE} AS addr
+    FROM v JOIN ba USING (record_id) JOIN ({_SPLIT}) t USING (record_id) JOIN ({_PARSED}) q USING (record_id)),
+  g AS MATERIALIZED (SELECT *, {_FULL('plain')} AS full_name, string_split(lower(plain), ' ')[1] AS given FROM w), y AS MATERIALIZED (SELECT *, coalesce(string_split({_FULL('given')}, ' ')[1], '') AS given_full FROM g)"""
+_COLUMNS = ", ".join(f"{s}.{f} AS {f}_{s}" for f in ("plain", "full_name", "given", "given_full", "addr", "city_normalized", "state", "zip_normalized", "gen", "ssn_token") for s in ("a", "b"))
+_SORTED = ", ".join(f"{O.sorted_words(f'{s}.{f}')} AS {f}_sorted_{s}" for f in ("plain", "full_name") for s in ("a", "b"))
+_KINDS = {"base": "plain_sorted", "nick": "full_name_sorted", "addr": "addr", "town": "city_normalized", "gave": "given"}
+_RATIO = ", ".join(f"(SELECT ratio FROM r WHERE a = {f}_a AND b = {f}_b) / 100.0::DOUBLE AS {k}" for k, f in _KINDS.items())
+_LACKS = "city_normalized_a IN ('', 'nan', 'none') OR city_normalized_b IN ('', 'nan', 'none')"
+_NO_STATE = "state_a IN ('', 'nan', 'none') OR state_b IN ('', 'nan', 'none')"
+
+
+def _record_pairs(least: float) -> str:
+    """Common table expressions up to ``scored(id_a, id_b, score, name_sim, addr_sim, match_method)``."""
+    return f"""{recursive(V_CTE)}, {_READY}, {_pairs('v', 'p', True)},
+  j AS MATERIALIZED (SELECT id_a, id_b, {_COLUMNS}, {_SORTED} FROM p JOIN y a ON a.record_id = id_a JOIN y b ON b.record_id = id_b
+    WHERE a.kind = b.kind AND (a.kind <> 'department' OR a.dept = b.dept) AND NOT (a.gen <> '' AND b.gen <> '' AND a.gen <> b.gen)),
+  f AS (SELECT * FROM j WHERE NOT (ssn_token_a <> '' AND ssn_token_a = ssn_token_b)),
+  t AS ({' UNION '.join(f'SELECT {k}_a AS a, {k}_b AS b FROM f' for k in _KINDS.values())}), {O.ratios('t', 'r')},
+  s1 AS (SELECT *, {_RATIO} FROM f),
+  s2 AS (SELECT *, CASE WHEN nick > base AND nick >= 0.90::DOUBLE THEN least(0.99::DOUBLE, nick + 0.10::DOUBLE) ELSE greatest(base, nick) END AS name_sim, CASE WHEN {_LACKS} THEN 0.5::DOUBLE ELSE town END AS city,
+    CASE WHEN {_NO_STATE} THEN 0.5::DOUBLE WHEN state_a = state_b THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS same_state, CASE WHEN zip_normalized_a <> '' AND zip_normalized_a = zip_normalized_b THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS same_zip FROM s1),
+  s3 AS (SELECT *, name_sim * 0.40::DOUBLE + addr * 0.30::DOUBLE + city * 0.10::DOUBLE + same_state * 0.10::DOUBLE + same_zip * 0.10::DOUBLE AS x FROM s2),
+  s4 AS (SELECT *, CASE WHEN given_a <> '' AND given_b <> '' AND given_full_a <> given_full_b AND gave < 0.70::DOUBLE THEN greatest(0.0::DOUBLE, x - 0.15::DOUBLE) ELSE x END AS x2 FROM s3),
+  s5 AS (SELECT *, CASE WHEN (gen_a = '') <> (gen_b = '') THEN greatest(0.0::DOUBLE, x2 - 0.10::DOUBLE) ELSE x2 END AS x3 FROM s4),
+  s6 AS (SELECT *, CASE WHEN same_zip = 1 AND addr >= 0.80::DOUBLE AND name_sim >= 0.80::DOUBLE THEN least(1.0::DOUBLE, x3 + 0.10::DOUBLE) ELSE x3 END AS score FROM s5),
+  scored AS MATERIALIZED (SELECT id_a, id_b, score, name_sim, addr AS addr_sim, 'fuzzy' AS match_method FROM s6 WHERE score >= {least}::DOUBLE
+    UNION ALL SELECT id_a, id_b, 1.0::DOUBLE, 1.0::DOUBLE, 1.0::DOUBLE, 'ssn_exact' FROM j WHERE ssn_token_a <> '' AND ssn_token_a = ssn_token_b)"""
+
+
+def _assigned(links: str, out: str) -> str:
+    """Common table expressions ``out(record_id, cluster_id, similarity_score)`` from links (id_a, id_b, score)."""
+    return f"""{out}_h AS MATERIALIZED (SELECT id_a AS u, id_b AS v, score FROM {links} UNION ALL SELECT id_b, id_a, score FROM {links}),
+  {out}_c AS (SELECT DISTINCT u AS id, u AS c FROM {out}_h UNION SELECT v, c FROM {out}_c JOIN {out}_h ON u = id WHERE v > c),
+  {out}_m AS (SELECT id, min(c) AS c FROM {out}_c GROUP BY id), {out}_s AS (SELECT u, max(score) AS s FROM {out}_h GROUP BY u),
+  {out} AS MATERIALIZED (SELECT record_id, coalesce(c, -1) AS cluster_id, coalesce(s, 0.0::DOUBLE) AS similarity_score FROM ba LEFT JOIN {out}_m ON id = record_id LEFT JOIN {out}_s ON u = record_id)"""
+
+
+_FILLED = " + ".join(f"(trim({f}) <> '')::INT" for f in values.COMPLETENESS_FIELDS)
+_OUTPUT = f"""o AS (SELECT z.record_id, z.cluster_id, similarity_score, v.* EXCLUDE (record_id) FROM z JOIN v USING (record_id)),
+  n AS (SELECT *, CASE WHEN cluster_id = -1 THEN -record_id - 2 ELSE cluster_id END AS grp FROM o),
+  k AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY ({_FILLED}) DESC, record_id) AS place, first_value(CASE WHEN trim(name) <> '' THEN name END IGNORE NULLS) OVER w AS fn,
+    first_value(CASE WHEN trim(zip) <> '' THEN zip END IGNORE NULLS) OVER w AS fz, list(zip) OVER w AS zs FROM n WINDOW w AS (PARTITION BY grp ORDER BY record_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+  b AS (SELECT *, CASE WHEN trim(zip) = '' THEN coalesce(fz, zip) ELSE zip END AS zz FROM k WHERE place = 1)
+  SELECT record_id, cluster_id, similarity_score, CASE WHEN cluster_id <> -1 AND trim(name) = '' THEN coalesce(fn, name) ELSE name END AS name, CASE WHEN cluster_id = -1 THEN zip WHEN zz LIKE '%-%' OR substr({O.digits('zz')}, 1, 5) = '' THEN zz ELSE
+    coalesce((list_filter(zs, lambda x: x LIKE '%-%' AND substr(regexp_replace(x, '[^0-9]', '', 'g'), 1, 5) = substr({O.digits('zz')}, 1, 5)))[1], zz) END AS zip FROM b"""
+_WITHIN = """inside AS (SELECT a.record_id AS id_a, b.record_id AS id_b, (a.similarity_score + b.similarity_score) / 2 AS score FROM z0 a JOIN z0 b ON a.cluster_id = b.cluster_id AND a.cluster_id >= 0 AND a.record_id < b.record_id),
+  certain AS MATERIALIZED (SELECT * FROM inside WHERE score >= 0.95::DOUBLE)"""
+
+
+@query("m12_record_pairs", f"{_record_pairs(0.85)} SELECT * FROM scored")
+def _(spark, d):
+    v = materialize(valid(spark, d), "valid")
+    return scoring.record_pairs(v, blocking.candidates(v, with_fallback=True))
+
+
+def _run(spark: SparkSession, d: str, stage: str) -> DataFrame:
+    steps = [{"stage": "validate", "config": {"salt": SALT}}, {"stage": stage}, {"stage": "merge"}, {"stage": "output"}]
+    return Pipeline(steps).run(source(spark, d)).select("record_id", "cluster_id", "similarity_score", "name", "zip")
+
+
+query("o01_record_pipeline", f"{_record_pairs(0.85)}, {_assigned('scored', 'z')}, {_OUTPUT}")(lambda spark, d: _run(spark, d, "match"))
+query("m22_hybrid_pipeline", f"{_record_pairs(0.75)}, {_assigned('scored', 'z0')}, {_WITHIN}, {_assigned('certain', 'z')}, {_OUTPUT}")(lambda spark, d: _run(spark, d, "hybrid_match"))
+
 # ---- Blocking and clusters ----------------------------------------------------------------------------------------------
 
 query("j21_block_fields", f"{V_CTE} SELECT a.record_id AS id_a, b.record_id AS id_b FROM v a JOIN v b ON a.city = b.city AND a.zip_normalized = b.zip_normalized AND trim(a.city) <> '' AND trim(a.zip_normalized) <> '' AND a.record_id < b.record_id")(

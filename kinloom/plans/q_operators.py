@@ -19,7 +19,6 @@ from ..session import materialize
 from ..sources import readers, sinks
 from . import oracle as O
 from .people import CTE, master, source
-from .pipeline import Pipeline
 from .q_functions import MATCH_KEY, NAME_TOKEN, SALT, SSN, SSN_MASTER
 from .registry import query
 
@@ -236,24 +235,6 @@ query("f42_infer_location", f"""{CTE}, i1 AS MATERIALIZED (SELECT record_id, add
 # ---- Scores (Python kernels: checked against goldens and brute force in the tests) --------------------------------------
 
 
-@query("m12_record_pairs")
-def _(spark, d):
-    v = materialize(valid(spark, d), "valid")
-    return scoring.record_pairs(v, B.candidates(v, with_fallback=True))
-
-
-@query("m22_hybrid_pipeline")
-def _(spark, d):
-    steps = [{"stage": "validate", "config": {"salt": SALT}}, {"stage": "hybrid_match"}, {"stage": "merge"}, {"stage": "output"}]
-    return Pipeline(steps).run(source(spark, d)).select("record_id", "cluster_id", "similarity_score", "name", "zip")
-
-
-@query("o01_record_pipeline")
-def _(spark, d):
-    steps = [{"stage": "validate", "config": {"salt": SALT}}, {"stage": "match"}, {"stage": "merge"}, {"stage": "output"}]
-    return Pipeline(steps).run(source(spark, d)).select("record_id", "cluster_id", "similarity_score", "name", "zip")
-
-
 @query("m09_match_master")
 def _(spark, d):
     return match_master.match(source(spark, d), master(spark, d))
