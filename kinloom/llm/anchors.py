@@ -224,7 +224,7 @@ def read_buckets(dealt: DataFrame, unit: Unit, buckets: int, limit: int = HELD)
         if asks := resolve(cols, unit.within)[1]:
             yield by_document(asks, buckets)
 
-    dealt = dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    dealt = dealt.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket")
     return dealt.mapInArrow(lambda it: by_bucket(it, ENTRY, limit, shrink, finish), "bucket int, blob binary")
 
 
@@ -248,7 +248,7 @@ def per_document(dealt: DataFrame, kinds: list, name: str, buckets: int, whole:
         if len(cols[0]):
             yield ship(cols)
 
-    dealt = dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    dealt = dealt.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket")
     return dealt.mapInArrow(lambda it: by_bucket(it, kinds, limit, shrink, finish), f"key bigint, idx bigint, {name} binary")
 
 
