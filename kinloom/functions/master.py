@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import values as V
-from .text import blank, chain, digits, lookup, safe, squeeze, tokens
+from .text import bind, blank, chain, digits, lookup, safe, squeeze, tokens
 
 NAME_CHAIN = [(rf"(?i)\b{p}\b", r) for p, r in V.NAME_RULES]
 
@@ -23,29 +23,40 @@ def normalize_name(c: Column, trust: Column | bool = False) -> Column:
     return F.when(F.lit(trust) if isinstance(trust, bool) else trust, plain).otherwise(n)
 
 
+def _numbered_box(a: Column) -> Column:
+    """An address that is just a box becomes a PO box; box numbers in words become digits."""
+    box = F.regexp_extract(a, V.BARE_BOX, 1)
+    return F.when(box != "", F.concat(F.lit("PO BOX "), F.coalesce(lookup(box, V.NUMBER_WORDS), box))).otherwise(a)
+
+
+def _digit_box(a: Column) -> Column:
+    word = F.regexp_extract(a, V.WORD_BOX, 1)
+    return F.when(word != "", F.replace(a, F.concat(F.lit("PO BOX "), word), F.concat(F.lit("PO BOX "), lookup(word, V.NUMBER_WORDS)))).otherwise(a)
+
+
+def _without_lead(a: Column) -> Column:
+    """What stands before the first "number word" goes, unless its last word starts an address."""
+    has_lead = a.rlike(V.NUMBER_THEN_WORD) & ~a.rlike(r"^\s*\d") & ~a.contains("PO BOX")
+
+    def cut(lead: Column) -> Column:
+        last = F.coalesce(F.try_element_at(tokens(lead), F.lit(-1)), F.lit(""))
+        return F.when(last.isin(V.ADDRESS_STARTS), a).otherwise(F.substring(a, F.length(lead) + 1, F.length(a)))
+
+    return F.when(has_lead, bind(F.regexp_extract(a, f"^(.*?){V.NUMBER_THEN_WORD}", 1), cut)).otherwise(a)
+
+
 def normalize_address(c: Column, trust: Column | bool = False) -> Column:
-    s = safe(c)
-    a = F.upper(s)
-    a = F.regexp_replace(a, r"\b(?:DATED|DTD)\s+", "")
+    """Every step that looks at its text more than once is bound, so the chain before it runs once."""
+    plain = squeeze(F.upper(safe(c)))
+    a = F.regexp_replace(F.upper(safe(c)), V.DATED, "")
     a = squeeze(F.regexp_replace(a, V.WORD_DATES, " "))
     a = squeeze(F.regexp_replace(a, V.NUMBER_DATES, " "))
-    a = F.regexp_replace(a, r"\b(\d+)-(\d+(?:ST|ND|RD|TH)\b)", "$1 $2")
-    box = F.regexp_extract(a, rf"^\s*BOX\s*#?\s*(\d+|{V.BOX_WORDS})\s*$", 1)
-    a = F.when(box != "", F.concat(F.lit("PO BOX "), F.coalesce(lookup(box, V.NUMBER_WORDS), box))).otherwise(a)
-    a = chain(a, V.PO_BOX_RULES)
-    word = F.regexp_extract(a, rf"\bPO\s*BOX\s+({V.BOX_WORDS})\b", 1)
-    numbered = F.replace(a, F.concat(F.lit("PO BOX "), word), F.concat(F.lit("PO BOX "), lookup(word, V.NUMBER_WORDS)))
-    a = F.when(word != "", numbered).otherwise(a)
-    a = chain(a, V.COUNTY_ROADS)
-    a = chain(a, [(rf"\b{w}\b", r) for w, r in V.STREET_WORDS])
-    a = F.regexp_replace(a, V.NUMBER_SIGN, "APT $1")
-    a = F.regexp_replace(a, r"[.,\-]", "")
-    # What stands before the first "number word" goes, unless its last word starts an address.
-    lead = F.regexp_extract(a, r"^(.*?)\b\d+\s+[A-Z]", 1)
-    has_lead = a.rlike(r"\b\d+\s+[A-Z]") & ~a.rlike(r"^\s*\d") & ~a.contains("PO BOX")
-    last = F.coalesce(F.try_element_at(tokens(lead), F.lit(-1)), F.lit(""))
-    a = F.when(has_lead & ~last.isin(V.ADDRESS_STARTS), F.substring(a, F.length(lead) + 1, F.length(a))).otherwise(a)
-    return F.when(s == "", "").otherwise(F.when(F.lit(trust) if isinstance(trust, bool) else trust, squeeze(F.upper(s))).otherwise(squeeze(a)))
+    a = bind(F.regexp_replace(a, V.HYPHENED_ORDINAL, "$1 $2"), _numbered_box)
+    a = bind(chain(a, V.PO_BOX_RULES), _digit_box)
+    a = chain(chain(a, V.COUNTY_ROADS), [(rf"\b{w}\b", r) for w, r in V.STREET_WORDS])
+    a = F.regexp_replace(F.regexp_replace(a, V.NUMBER_SIGN, "APT $1"), r"[.,\-]", "")
+    a = squeeze(bind(a, _without_lead))
+    return F.when(plain == "", "").otherwise(F.when(F.lit(trust) if isinstance(trust, bool) else trust, plain).otherwise(a))
 
 
 def normalize_city(c: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import values as V
-from .text import chain, digits, lookup, normalize_string, safe, squeeze, tokens
+from .text import bind, chain, digits, lookup, normalize_string, safe, squeeze, tokens
 
 
 def normalize_address(c: Column) -> Column:
@@ -93,8 +93,10 @@ def with_full_names(c: Column) -> Column:
 
 def parse_name(c: Column) -> Column:
     """Struct (first, middle, last, suffix, title)."""
-    split = remove_title(c)
-    words = tokens(split["rest"])
+    return bind(remove_title(c), lambda split: bind(tokens(split["rest"]), lambda words: _parsed(words, split["title"])))
+
+
+def _parsed(words: Column, title: Column) -> Column:
     n = F.size(words)
     at = lambda k: F.coalesce(F.try_element_at(words, F.lit(k)), F.lit(""))
     forms = sorted(set(V.GENERATIONS.values()))
@@ -107,7 +109,7 @@ def parse_name(c: Column) -> Column:
     )
     return F.struct(
         at(1).alias("first"), middle.alias("middle"), F.when(n < 2, "").when(suffix, at(-2)).otherwise(last).alias("last"),
-        F.when(suffix, last).otherwise("").alias("suffix"), split["title"].alias("title"),
+        F.when(suffix, last).otherwise("").alias("suffix"), title.alias("title"),
     )
 
 

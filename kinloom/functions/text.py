@@ -61,3 +61,9 @@ def lookup(c: Column, table: dict[str, str]) -> Column:
 def tokens(c: Column) -> Column:
     """Words between white space; none of the empty text."""
     return F.filter(F.split(squeeze(c), " "), lambda t: t != "")
+
+
+def bind(c: Column, f) -> Column:
+    """``f(c)`` with ``c`` computed once, however often ``f`` refers to it. Spark takes no Python function over such an
+    expression in one projection: store the column first, as the matchers do."""
+    return F.element_at(F.transform(F.array(c), lambda x: f(x)), 1)

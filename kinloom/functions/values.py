@@ -163,3 +163,10 @@ REVIEW_REASONS = {
 }
 COMPLETENESS_FIELDS = ["address", "city", "state", "zip", "phone", "email", "contact_person"]
 OPTIONAL_FIELDS = ["city", "state", "zip", "phone", "email", "contact_person", "notes"]
+
+# Patterns of the master matcher's address rules.
+DATED = r"\b(?:DATED|DTD)\s+"
+HYPHENED_ORDINAL = r"\b(\d+)-(\d+(?:ST|ND|RD|TH)\b)"
+BARE_BOX = rf"^\s*BOX\s*#?\s*(\d+|{BOX_WORDS})\s*$"
+WORD_BOX = rf"\bPO\s*BOX\s+({BOX_WORDS})\b"
+NUMBER_THEN_WORD = r"\b\d+\s+[A-Z]"

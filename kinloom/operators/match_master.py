@@ -90,7 +90,7 @@ def match(source: DataFrame, master: DataFrame, buckets=V.BUCKETS) -> DataFrame:
         F.when(F.col("address_reason") == "UNKNOWN_ADDRESS", "UNKNOWN_ADDRESS"),
     )
     combo = lambda p, t: F.concat_ws(" ", M.normalize_name(F.col(p + "name"), t), M.normalize_address(F.col(p + "address"), t), M.normalize_city(F.col(p + "city")), F.upper(safe(F.col(p + "state"))), M.normalize_zip(F.col(p + "zip")))
-    met = materialize(met, "best").withColumns({"is_trust": trust, "ca": combo("", trust), "cb": combo("m_", False)})
+    met = materialize(met.withColumns({"is_trust": trust, "ca": combo("", trust), "cb": combo("m_", False)}), "best")
     met = met.withColumn("nameaddrscore", M.round5(jaro_winkler_udf("ca", "cb") * 100))
     met = met.withColumns({
         "name_ambiguous": M.ambiguous_name(F.col("n100"), F.lit(100.0)),

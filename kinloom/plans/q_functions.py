@@ -10,6 +10,7 @@ from ..functions import master as M
 from ..functions import records as R
 from ..functions import text as T
 from ..functions import values as V
+from ..session import materialize
 from . import oracle as O
 from .people import CTE, source
 from .registry import query
@@ -174,5 +175,5 @@ query("f24_address_label", f"""{CTE}, n AS ({_ADDR}), x AS (SELECT record_id, va
   y AS (SELECT *, {_BEFORE} AS before, regexp_extract(value, {O.q(f'^(.*?{L.UNIT})\s+\S.*$')}, 1) AS street, regexp_extract(value, {O.q(f'^.*?{L.UNIT}\s+(\S.*)$')}, 1) AS tail FROM x)
   SELECT record_id, CASE WHEN {_RAW_BOX('value')} <> '' THEN concat_ws(chr(10), {_RAW_BOX('value')}, nullif({_BESIDE}, ''))
     ELSE concat_ws(chr(10), nullif(coalesce(nullif(street, ''), value), ''), nullif(tail, ''), nullif(CASE WHEN contains(value, before) THEN '' ELSE before END, '')) END AS value FROM y""")(
-    lambda spark, d: source(spark, d).select("record_id", L.address_label(c("address"), M.normalize_address(c("address"))).alias("value"))
+    lambda spark, d: materialize(source(spark, d).select("record_id", "address", M.normalize_address(c("address")).alias("n")), "addresses").select("record_id", L.address_label(c("address"), c("n")).alias("value"))
 )

@@ -134,7 +134,7 @@ def test_pipeline_resumes(spark, tmp_path):
     p = Pipeline([{"stage": "validate", "config": {"salt": "s"}}, {"stage": "match"}, {"stage": "merge"}, {"stage": "output"}], str(tmp_path / "state"))
     first = p.run(people(spark)).count()
     assert p.run(people(spark), resume=True).count() == first
-    strict = p.override("match", threshold=0.99)
+    strict = p.override("match", strategies=["ssn"], fallback=False)
     fresh = Pipeline(strict.steps).run(people(spark)).count()
     assert strict.run(people(spark), resume=True).count() == fresh != first
     assert p.run(people(spark).filter("record_id < 3"), resume=True).count() < first
