@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
+from ..session import discard
 from .blobs import bucket_of, by_bucket, deal
 from .common import materialize, partitions, text_bytes, tune
 from .hashing import P1, mix, range_hashes, word_hashes
@@ -314,15 +315,18 @@ def confirmed_links(docs: DataFrame, groups: DataFrame, words: int, per_cent: in
 def link(docs: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
     spark = docs.sparkSession
-    rows = materialize(sketch(docs, words), "sketches")
+    sketches = materialize(sketch(docs, words), "sketches")
+    rows = materialize(sketches.select("doc_id", "n_shingles", "digest"), "digests")
     named = rows.filter("doc_id is not null")
     full = named.filter("digest is not null")
     groups = full.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     # One row of each class goes into the forest, whichever it is of those with the smallest id.
-    firsts = full.groupBy("digest").agg(F.min_by(F.struct("signature", "n_shingles"), "doc_id").alias("x"), F.min("doc_id").alias("doc_id"))
+    firsts = sketches.filter("doc_id is not null and digest is not null").groupBy("digest").agg(F.min_by(F.struct("signature", "n_shingles"), "doc_id").alias("x"), F.min("doc_id").alias("doc_id"))
     reps = materialize(firsts.select("doc_id", "x.n_shingles", "x.signature"), "classes")
+    discard(sketches)  # most of their bytes are signatures, which only the classes still need
     near = connected_components(forest_edges(reps, max(partitions(spark), -(-reps.count() * TREES // 500_000))))
     found = materialize(near.withColumnRenamed("id", "doc_id").join(reps.select("doc_id", "n_shingles"), "doc_id"), "groups")
+    discard(reps)
     links = confirmed_links(docs, found, words, per_cent)
     again = named.groupBy("doc_id").count().filter(F.col("count") > 1).select("doc_id")
     repeated = named.join(again, "doc_id", "left_semi").join(groups, "digest", "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep")).distinct()

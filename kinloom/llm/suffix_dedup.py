@@ -220,13 +220,14 @@ def dedup(docs: DataFrame) -> DataFrame:
     texts = anchors.prepare(docs, others)
     buckets = anchors.bucket_count(texts)
     cut = anchors.per_document(cuts(texts, buckets), anchors.CUT, "cut", buckets, whole=True)
-    joined = texts.join(cut.hint("merge"), ["key", "idx"], "left").select("text", "cut", "missing", "row")
+    joined = texts.join(cut.hint("merge"), ["key", "idx"], "left").select("doc_id", "text", "cut", "missing", "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left = [None if gone else kept_text(text.as_py(), *anchors.merged(blob.as_py())) for text, blob, gone in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(3), pa.array(left, pa.string())], names=["row", "left"])
+            left = [None if gone else kept_text(text.as_py(), *anchors.merged(blob.as_py())) for text, blob, gone in zip(*batch.columns[1:3], batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(4), pa.array(left, pa.string())], names=["row", "left"])
 
+    # All columns of the texts go in, though not all are used: so both joins share one shuffle of the texts.
     rows = joined.mapInArrow(run, joined.select("row").schema.add("left", "string"))
     out = rows.select(*(F.col("left").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
