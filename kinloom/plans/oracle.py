@@ -72,3 +72,22 @@ def ratios(source: str, name: str) -> str:
     UNION ALL SELECT a, b, i + 1, list_transform(range(1, len(cand) + 1), lambda j: list_max(cand[1:j])) FROM (SELECT a, b, i, {cand}::BIGINT[] AS cand FROM {name}_s WHERE i < length(a))),
   {name} AS MATERIALIZED (SELECT a, b, CASE WHEN a = '' OR b = '' THEN 0 ELSE round_even(200 * row[len(row)] / (length(a) + length(b))::DOUBLE, 0) END::INT AS ratio FROM {name}_s WHERE i = length(a)
     UNION ALL SELECT a, b, CASE WHEN a = '' THEN 0 ELSE 100 END FROM {name}_p WHERE a = b)"""
+
+
+def jaro(source: str, name: str) -> str:
+    """Common table expressions ``name(a, b, jaro, winkler)`` for every distinct pair (a, b) of the table ``source``: the
+    Jaro similarity by its definition, one character of ``a`` a step, and with the common prefix of up to four. A matched
+    character of ``b`` becomes chr(1) in ``rest``."""
+    near = "range(greatest(1, i + 1 - reach), least(length(b), i + 1 + reach) + 1)"
+    spot = f"list_min(list_filter({near}, lambda j: substr(rest, j::BIGINT, 1) = substr(a, (i + 1)::BIGINT, 1)))"
+    met = "list_filter(range(1, length(b) + 1), lambda j: substr(rest, j::BIGINT, 1) = chr(1))"
+    return f"""{name}_p AS MATERIALIZED (SELECT DISTINCT a, b FROM {source}),
+  {name}_s AS (SELECT a, b, 0::BIGINT AS i, b AS rest, '' AS met, greatest(0, greatest(length(a), length(b)) // 2 - 1)::BIGINT AS reach FROM {name}_p WHERE a <> b AND a <> '' AND b <> ''
+    UNION ALL SELECT a, b, i + 1, CASE WHEN spot IS NULL THEN rest ELSE substr(rest, 1, spot - 1) || chr(1) || substr(rest, spot + 1) END, CASE WHEN spot IS NULL THEN met ELSE met || substr(a, i + 1, 1) END, reach
+      FROM (SELECT *, {spot}::BIGINT AS spot FROM {name}_s WHERE i < length(a))),
+  {name}_m AS (SELECT a, b, met, length(met) AS m, {met} AS spots FROM {name}_s WHERE i = length(a)),
+  {name}_j AS (SELECT a, b, CASE WHEN m = 0 THEN 0.0::DOUBLE ELSE (m / length(a)::DOUBLE + m / length(b)::DOUBLE
+      + (m - len(list_filter(range(1, m + 1), lambda k: substr(met, k::BIGINT, 1) <> substr(b, spots[k]::BIGINT, 1))) / 2::DOUBLE) / m) / 3.0::DOUBLE END AS jaro FROM {name}_m
+    UNION ALL SELECT a, b, CASE WHEN a = b THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END FROM {name}_p WHERE a = b OR a = '' OR b = ''),
+  {name} AS MATERIALIZED (SELECT a, b, jaro, CASE WHEN a = '' OR b = '' THEN 0.0::DOUBLE ELSE jaro + 0.1::DOUBLE * (1 - jaro)
+      * len(list_filter(range(1, least(4, length(a), length(b)) + 1), lambda k: substr(a, 1, k::BIGINT) = substr(b, 1, k::BIGINT))) END AS winkler FROM {name}_j)"""

@@ -171,8 +171,8 @@ _RAW_BOX = lambda x: f"regexp_extract({x}, {O.q('(?i)' + L.BOX)})"
 _BESIDE = f"trim(trim({O.squeeze(f"regexp_replace(CASE WHEN {_RAW_BOX('raw')} <> '' THEN raw ELSE value END, {O.q('(?i)' + L.BOX)}, '')")}, '{L.EDGE}'))"
 _BEFORE = f"rtrim(trim(CASE WHEN house <> '' AND strpos(raw, house) > 1 THEN substr(raw, 1, strpos(raw, house) - 1) ELSE '' END), '{L.EDGE}')"
 #: Every part of these records fits one line.
-query("f24_address_label", f"""{CTE}, n AS ({_ADDR}), x AS (SELECT record_id, value, upper(trim(address)) AS raw, regexp_extract(value, '^\d+') AS house FROM n JOIN ba USING (record_id)),
-  y AS (SELECT *, {_BEFORE} AS before, regexp_extract(value, {O.q(f'^(.*?{L.UNIT})\s+\S.*$')}, 1) AS street, regexp_extract(value, {O.q(f'^.*?{L.UNIT}\s+(\S.*)$')}, 1) AS tail FROM x)
+query("f24_address_label", rf"""{CTE}, n AS ({_ADDR}), x AS (SELECT record_id, value, upper(trim(address)) AS raw, regexp_extract(value, '^\d+') AS house FROM n JOIN ba USING (record_id)),
+  y AS (SELECT *, {_BEFORE} AS before, regexp_extract(value, {O.q(rf'^(.*?{L.UNIT})\s+\S.*$')}, 1) AS street, regexp_extract(value, {O.q(rf'^.*?{L.UNIT}\s+(\S.*)$')}, 1) AS tail FROM x)
   SELECT record_id, CASE WHEN {_RAW_BOX('value')} <> '' THEN concat_ws(chr(10), {_RAW_BOX('value')}, nullif({_BESIDE}, ''))
     ELSE concat_ws(chr(10), nullif(coalesce(nullif(street, ''), value), ''), nullif(tail, ''), nullif(CASE WHEN contains(value, before) THEN '' ELSE before END, '')) END AS value FROM y""")(
     lambda spark, d: materialize(source(spark, d).select("record_id", "address", M.normalize_address(c("address")).alias("n")), "addresses").select("record_id", L.address_label(c("address"), c("n")).alias("value"))

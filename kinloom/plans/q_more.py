@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import compare, master, values
+from ..functions.similarity import jaro_udf, jaro_winkler_udf, score_distinct
 from ..operators import blocking, facade, match_master, reports, review, scoring
 from ..session import materialize
 from ..sources import readers, sinks
@@ -96,6 +97,18 @@ def _shifted(spark: SparkSession, d: str, column: str) -> DataFrame:
 query("m14_name_matches", _two("name", 0.85))(lambda spark, d: scoring.name_matches(_shifted(spark, d, "name"), "a", "b").select("id_a", "id_b", "score", "is_match"))
 query("m14_address_matches", _two("address", 0.80))(lambda spark, d: scoring.address_matches(_shifted(spark, d, "address"), "a", "b").select("id_a", "id_b", "score", "is_match"))
 
+_JARO = f"""{recursive(CTE)}, j AS MATERIALIZED ({' UNION ALL '.join(f"SELECT '{f}' AS field, x.record_id AS id_a, y.record_id AS id_b, x.{f} AS a, y.{f} AS b FROM ba x JOIN ba y ON y.record_id = x.record_id + 7" for f in ('name', 'address'))}), {O.jaro('j', 'r')}
+  SELECT field, id_a, id_b, {{}} AS score FROM j JOIN r USING (a, b)"""
+
+
+def _jaro(spark: SparkSession, d: str, udf) -> DataFrame:
+    pairs = [_shifted(spark, d, f).select(F.lit(f).alias("field"), "id_a", "id_b", "a", "b") for f in ("name", "address")]
+    return score_distinct(pairs[0].unionByName(pairs[1]), "a", "b", udf, "score").select("field", "id_a", "id_b", "score")
+
+
+query("m01_jaro", _JARO.format("jaro"))(lambda spark, d: _jaro(spark, d, jaro_udf))
+query("m02_jaro_winkler", _JARO.format("winkler"))(lambda spark, d: _jaro(spark, d, jaro_winkler_udf))
+
 # ---- Record pairs, and the pipelines over them ----------------------------------------------------------------------------
 
 _PLACE = O.squeeze(O.sub(O.chain(O.squeeze(f"lower({O.safe('ba.address')})"), values.PIPELINE_ADDRESS_RULES), r"[^\w\s\-]", ""))
