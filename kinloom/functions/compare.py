@@ -114,16 +114,38 @@ def address_features(df: DataFrame, address: str, city: str, zip_: str, prefix:
 def compare_addresses(pairs: DataFrame, s: str = "s", m: str = "m") -> DataFrame:
     """Adds same_address, address_score and address_reason to pairs that carry both sides' ``address_features``.
 
-    String similarities run in Python, once for each distinct pair of strings; every rule is a column expression over
-    them."""
+    The rule that decides a pair needs no similarity, so it comes first, as a column. String similarities run in Python
+    only for pairs whose rule weighs them, once for each distinct pair of strings; all others score 0."""
     col = lambda side, n: F.col(f"{side}_{n}")
-    both_core_empty = (col(s, "core") == "") & (col(m, "core") == "")
-    pick = lambda side: F.when(both_core_empty, col(side, "tail")).otherwise(col(side, "core"))
-    df = base = materialize(pairs.withColumns({"__s": pick(s), "__m": pick(m)}), "addresses")
-    for left, right, out in ((f"{s}_addr", f"{m}_addr", "__a"), (f"{s}_city", f"{m}_city", "__c"), ("__s", "__m", "__t")):
+    either = lambda n, value: (col(s, n) == value) | (col(m, n) == value)
+    both = lambda n, value: (col(s, n) == value) & (col(m, n) == value)
+    rules = [
+        (col(s, "unknown") | col(m, "unknown"), "UNKNOWN_ADDRESS"),
+        (both("addr", ""), "BOTH_EMPTY"),
+        (either("addr", ""), "ONE_EMPTY"),
+        (col(s, "is_box") != col(m, "is_box"), "POBOX_VS_STREET"),
+        (col(s, "is_box") & either("box", ""), "POBOX_MISSING_NUM"),
+        (col(s, "is_box") & (col(s, "box") != col(m, "box")), "POBOX_NUM_MISMATCH"),
+        (col(s, "is_box"), "POBOX_MATCH"),
+        (both("num", ""), "NON_STANDARD"),
+        (either("num", ""), "MISSING_HOUSE_NUMBER"),
+        (col(s, "num") != col(m, "num"), "HOUSE_NUM_MISMATCH"),
+    ]
+    rule: Column = F.lit("STREET")
+    for when, name in reversed(rules):
+        rule = F.when(when, name).otherwise(rule)
+    is_ = lambda name: F.col("address_reason") == name
+    # What a rule weighs: whole addresses, streets (what follows the house number where neither has one), or cities.
+    text = lambda side: F.when(is_("NON_STANDARD"), col(side, "addr")).when(is_("POBOX_MATCH"), col(side, "city")).otherwise(
+        F.when(both("core", ""), col(side, "tail")).otherwise(col(side, "core"))
+    )
+    pairs = materialize(pairs.withColumn("address_reason", rule).withColumns({"__s": text(s), "__m": text(m)}), "addresses")
+    weighed = F.col("address_reason").isin("STREET", "NON_STANDARD", "POBOX_MATCH")
+    df = base = pairs.filter(weighed)
+    for left, right, out in ((f"{s}_city", f"{m}_city", "__c"), ("__s", "__m", "__t")):
         df = score_distinct(df, left, right, closeness, out, base)
-    no_city = (col(s, "city") == "") | (col(m, "city") == "")
-    city = F.when(no_city, F.lit(0.9)).otherwise(F.col("__c"))
+    no_city = either("city", "")
+    city, alike = F.when(no_city, F.lit(0.9)).otherwise(F.col("__c")), F.col("__t")
     z1, z2 = col(s, "zip"), col(m, "zip")
     zip_same, zip_differs = (z1 != "") & (z1 == z2), (z1 != "") & (z2 != "") & (z1 != z2)
     n1, n2 = col(s, "nums"), col(m, "nums")
@@ -131,36 +153,22 @@ def compare_addresses(pairs: DataFrame, s: str = "s", m: str = "m") -> DataFrame
     apart, equal = some & ~F.arrays_overlap(n1, n2), some & (n1 == n2)
     lift = lambda score: F.when(zip_same & (score >= 0.85), F.least(F.lit(1.0), score + 0.05)).otherwise(score)
     box = F.least(F.lit(1.0), 0.92 * city + F.when(zip_same, 0.05).otherwise(0.0))
-    free = lift(F.col("__a") * (0.6 + 0.4 * city))
+    free = lift(alike * (0.6 + 0.4 * city))
     free = F.when(apart, F.greatest(F.lit(0.0), free - 0.10)).otherwise(free)
     free = F.when(zip_differs, F.greatest(F.lit(0.0), free - 0.20)).otherwise(free)
     free = F.when(equal & zip_same, F.least(F.lit(1.0), free + 0.50)).otherwise(free)
     zip_ok = ~zip_differs | (city >= 0.92)
-    street = lift(F.col("__t") * (0.6 + 0.4 * city))
+    street = lift(alike * (0.6 + 0.4 * city))
     street = F.when(zip_ok, street).otherwise(street * 0.75)
-    e1, e2 = col(s, "addr") == "", col(m, "addr") == ""
-    cases = [
-        (col(s, "unknown") | col(m, "unknown"), 0.0, False, "UNKNOWN_ADDRESS"),
-        (e1 & e2, 0.0, False, "BOTH_EMPTY"),
-        (e1 | e2, 0.0, False, "ONE_EMPTY"),
-        (col(s, "is_box") != col(m, "is_box"), 0.0, False, "POBOX_VS_STREET"),
-        (col(s, "is_box") & ((col(s, "box") == "") | (col(m, "box") == "")), 0.0, False, "POBOX_MISSING_NUM"),
-        (col(s, "is_box") & (col(s, "box") != col(m, "box")), 0.0, False, "POBOX_NUM_MISMATCH"),
-        (col(s, "is_box"), box, (box >= 0.90) & (city >= 0.85), "POBOX_MATCH"),
-        ((col(s, "num") == "") & (col(m, "num") == ""), free, ((F.col("__a") >= 0.90) & (city >= 0.85) & ~apart) | (equal & zip_same & (city >= 0.85)), "NON_STANDARD"),
-        ((col(s, "num") == "") | (col(m, "num") == ""), 0.0, False, "MISSING_HOUSE_NUMBER"),
-        (col(s, "num") != col(m, "num"), 0.0, False, "HOUSE_NUM_MISMATCH"),
-    ]
-    score: Column = street
-    same: Column = (F.col("__t") >= 0.90) & zip_ok & ((city >= 0.85) | no_city)
-    reason: Column = F.lit("STREET")
-    for when, value, alike, why in reversed(cases):
-        score = F.when(when, value).otherwise(score)
-        same = F.when(when, alike).otherwise(same)
-        reason = F.when(when, why).otherwise(reason)
-    return df.withColumn("same_address", same).withColumn("address_score", score).withColumn("address_reason", reason).drop("__a", "__c", "__t", "__s", "__m")
-
-
+    same_box = (box >= 0.90) & (city >= 0.85)
+    same_free = ((alike >= 0.90) & (city >= 0.85) & ~apart) | (equal & zip_same & (city >= 0.85))
+    same_street = (alike >= 0.90) & zip_ok & ((city >= 0.85) | no_city)
+    df = df.withColumns({
+        "same_address": F.when(is_("POBOX_MATCH"), same_box).when(is_("NON_STANDARD"), same_free).otherwise(same_street),
+        "address_score": F.when(is_("POBOX_MATCH"), box).when(is_("NON_STANDARD"), free).otherwise(street),
+    })
+    others = pairs.filter(~weighed).withColumns({"same_address": F.lit(False), "address_score": F.lit(0.0)})
+    return df.drop("__c", "__t", "__s", "__m").unionByName(others.drop("__s", "__m"))
 
 
 def three_way(same: Column, score: Column) -> Column:

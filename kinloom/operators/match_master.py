@@ -78,12 +78,12 @@ def match(source: DataFrame, master: DataFrame, buckets=V.BUCKETS) -> DataFrame:
     m = materialize(name_features(C.address_features(master, "address", "city", "zip", "f"), "f"), "master")
     joined = materialize(candidates(s, m), "met")
     met = joined.filter("ssn_status = 'MATCHED'")
-    met = _boost(met)
-    met = materialize(C.compare_addresses(met, "s", "m_f"), "compared")
-    met = met.withColumns({"n100": M.round5(F.col("name_score") * 100), "a100": M.round5(F.col("address_score") * 100)})
+    met = C.compare_addresses(met, "s", "m_f").withColumn("a100", M.round5(F.col("address_score") * 100))
     every = Window.partitionBy("record_id")
-    met = met.withColumn("possible_address_matches", F.sum(F.when((F.col("n100") > 94) & (F.col("a100") > 84), 1).otherwise(0)).over(every))
-    met = met.withColumn("r", F.row_number().over(every.orderBy(F.desc("address_score"), "m_record_id"))).filter("r = 1")
+    met = met.withColumn("r", F.row_number().over(every.orderBy(F.desc("address_score"), "m_record_id")))
+    # Names count only for the best row and for rows whose address is good enough for a possible match.
+    met = _boost(materialize(met.filter("r = 1 OR a100 > 84"), "compared")).withColumn("n100", M.round5(F.col("name_score") * 100))
+    met = met.withColumn("possible_address_matches", F.sum(F.when((F.col("n100") > 94) & (F.col("a100") > 84), 1).otherwise(0)).over(every)).filter("r = 1")
     trust = M.is_trust(F.col("name"), F.col("address"))
     gate = F.coalesce(
         M.quality_gate(*(F.col(x) for x in ("name", "address", "city", "state", "zip"))), M.quality_gate(*(F.col(f"m_{x}") for x in ("name", "address", "city", "state", "zip")), prefix="DEC_"),
