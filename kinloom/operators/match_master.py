@@ -42,6 +42,12 @@ def name_features(df: DataFrame, prefix: str) -> DataFrame:
     return df.withColumns({f"{prefix}_name": M.normalize_name(F.col("name")), f"{prefix}_names": names, f"{prefix}_contact": contact})
 
 
+def record_verdicts(df: DataFrame, prefix: str, gate: str = "") -> DataFrame:
+    """The quality gate and the trust flag of one side, computed once a record."""
+    held = M.quality_gate(*(F.col(x) for x in ("name", "address", "city", "state", "zip")), prefix=gate)
+    return df.withColumns({f"{prefix}_gate": held, f"{prefix}_trust": M.is_trust(F.col("name"), F.col("address"))})
+
+
 def _boost(df: DataFrame) -> DataFrame:
     """Adds name_score and name_boost_source: where the plain comparison stays below 0.95, names in the address fields
     and the master's contact may raise it, to 0.95 at most; of equal scores the first source in order counts."""
@@ -74,23 +80,23 @@ def match(source: DataFrame, master: DataFrame, buckets=V.BUCKETS) -> DataFrame:
     ``source`` and ``master`` have record_id, name, address, city, state, zip, contact_person and ssn."""
     fields = ["record_id", "name", "address", "city", "state", "zip", "contact_person", "ssn"]
     source, master = source.select(*fields), master.select(*fields)
-    s = materialize(name_features(C.address_features(source, "address", "city", "zip", "s"), "s"), "source")
-    m = materialize(name_features(C.address_features(master, "address", "city", "zip", "f"), "f"), "master")
-    joined = materialize(candidates(s, m), "met")
-    met = joined.filter("ssn_status = 'MATCHED'")
+    s = materialize(record_verdicts(name_features(C.address_features(source, "address", "city", "zip", "s"), "s"), "s"), "source")
+    m = materialize(record_verdicts(name_features(C.address_features(master, "address", "city", "zip", "f"), "f"), "f", "DEC_"), "master")
+    # Pairs carry what the address rules read; the other columns join the few rows that stay.
+    late = {"s": [*fields[1:-1], "s_name", "s_names", "s_contact", "s_gate", "s_trust"], "f": [*fields[1:-1], "f_name", "f_names", "f_contact", "f_gate", "f_trust"]}
+    met = candidates(s.drop(*late["s"]), m.drop(*late["f"])).filter("ssn_status = 'MATCHED'")
     met = C.compare_addresses(met, "s", "m_f").withColumn("a100", M.round5(F.col("address_score") * 100))
     every = Window.partitionBy("record_id")
     met = met.withColumn("r", F.row_number().over(every.orderBy(F.desc("address_score"), "m_record_id")))
     # Names count only for the best row and for rows whose address is good enough for a possible match.
-    met = _boost(materialize(met.filter("r = 1 OR a100 > 84"), "compared")).withColumn("n100", M.round5(F.col("name_score") * 100))
+    met = met.filter("r = 1 OR a100 > 84").join(s.select("record_id", *late["s"]), "record_id")
+    met = met.join(m.select(F.col("record_id").alias("m_record_id"), *(F.col(x).alias(f"m_{x}") for x in late["f"])), "m_record_id")
+    met = _boost(materialize(met, "compared")).withColumn("n100", M.round5(F.col("name_score") * 100))
     met = met.withColumn("possible_address_matches", F.sum(F.when((F.col("n100") > 94) & (F.col("a100") > 84), 1).otherwise(0)).over(every)).filter("r = 1")
-    trust = M.is_trust(F.col("name"), F.col("address"))
-    gate = F.coalesce(
-        M.quality_gate(*(F.col(x) for x in ("name", "address", "city", "state", "zip"))), M.quality_gate(*(F.col(f"m_{x}") for x in ("name", "address", "city", "state", "zip")), prefix="DEC_"),
-        F.when(F.col("address_reason") == "UNKNOWN_ADDRESS", "UNKNOWN_ADDRESS"),
-    )
+    trust = F.col("s_trust")
+    gate = F.coalesce("s_gate", "m_f_gate", F.when(F.col("address_reason") == "UNKNOWN_ADDRESS", "UNKNOWN_ADDRESS"))
     combo = lambda p, t: F.concat_ws(" ", M.normalize_name(F.col(p + "name"), t), M.normalize_address(F.col(p + "address"), t), M.normalize_city(F.col(p + "city")), F.upper(safe(F.col(p + "state"))), M.normalize_zip(F.col(p + "zip")))
-    met = materialize(met.withColumns({"is_trust": trust, "ca": combo("", trust), "cb": combo("m_", False)}), "best")
+    met = materialize(met.withColumns({"ca": combo("", trust), "cb": combo("m_", False)}), "best")
     met = met.withColumn("nameaddrscore", M.round5(jaro_winkler_udf("ca", "cb") * 100))
     met = met.withColumns({
         "name_ambiguous": M.ambiguous_name(F.col("n100"), F.lit(100.0)),
@@ -98,19 +104,19 @@ def match(source: DataFrame, master: DataFrame, buckets=V.BUCKETS) -> DataFrame:
         "name_norm_detail": M.audit_detail(M.normalization_detail(F.col("name")), M.normalization_detail(F.col("m_name"))),
         "name_match_detail": M.boost_detail(F.col("name_rule"), F.col("name_boost_source"), F.col("name_score")),
     })
-    met = met.withColumns({"review_reason": gate, "is_trust": (F.col("is_trust") | M.is_trust(F.col("m_name"), F.col("m_address"))).cast("int")})
+    met = met.withColumns({"review_reason": gate, "is_trust": (trust | F.col("m_f_trust")).cast("int")})
     verdict = F.when(F.col("review_reason").isNotNull(), V.NEEDS_REVIEW).otherwise(M.classify(F.col("n100"), F.col("a100"), buckets))
     best = met.select(
         "record_id", "ssn_status", "match_count", F.col("m_record_id").alias("master_id"), F.lit(100.0).alias("ssn_match"), F.col("n100").alias("name_score"), F.col("a100").alias("address_score"),
         "address_reason", "name_boost_source", "nameaddrscore", "possible_address_matches", "review_reason", "is_trust", verdict.alias("recommendation"), M.mask_ssn(F.col("ssn")).alias("ssn_masked"), "name", "state", "m_name", "name_ambiguous", "address_ambiguous", "name_norm_detail", "name_match_detail",
     )
-    rest = joined.filter("ssn_status <> 'MATCHED'")
-    gate = M.quality_gate(*(F.col(x) for x in ("name", "address", "city", "state", "zip")))
+    rest = candidates(s, m.select("ssn").distinct()).filter("ssn_status <> 'MATCHED'")
+    gate = F.col("s_gate")
     zero = F.lit(0.0)
     alone = rest.select(
         "record_id", "ssn_status", "match_count", F.lit(None).cast("long").alias("master_id"), zero.alias("ssn_match"), zero.alias("name_score"), zero.alias("address_score"),
         F.col("ssn_status").alias("address_reason"), F.lit(None).cast("string").alias("name_boost_source"), F.lit(None).cast("double").alias("nameaddrscore"), F.lit(0).cast("long").alias("possible_address_matches"),
-        gate.alias("review_reason"), M.is_trust(F.col("name"), F.col("address")).cast("int").alias("is_trust"),
+        gate.alias("review_reason"), F.col("s_trust").cast("int").alias("is_trust"),
         F.when(gate.isNotNull() | (F.col("ssn_status") == "NO_SSN"), V.NEEDS_REVIEW).otherwise(M.classify(zero, zero, buckets)).alias("recommendation"), M.mask_ssn(F.col("ssn")).alias("ssn_masked"), "name", "state", F.lit("").alias("m_name"),
         F.lit(False).alias("name_ambiguous"), F.lit(False).alias("address_ambiguous"), F.lit("").alias("name_norm_detail"), F.lit("").alias("name_match_detail"),
     )
