@@ -48,10 +48,13 @@ def top_states(df: DataFrame, n: int = 10) -> DataFrame:
 
 def group_report(df: DataFrame) -> DataFrame:
     """Each cluster with its size, its names in id order, and the largest and mean score. A row holds its cluster's names:
-    the report is for clusters that a person can read."""
-    names = F.transform(F.array_sort(F.collect_list(F.struct("record_id", "name"))), lambda x: x["name"])
-    out = df.filter("cluster_id <> -1").groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"), names.alias("names"), F.round(F.max("similarity_score") * 100, 1).alias("max_score"), F.round(F.avg("similarity_score") * 100, 1).alias("avg_score"))
-    return out.withColumn("names", F.array_join("names", ","))
+    the report is for clusters that a person can read. Scores are added in id order too: a sum of doubles depends on its
+    order, and where the mean lies between two decimals the rounding shows it."""
+    rows = F.array_sort(F.collect_list(F.struct("record_id", "name", "similarity_score")))
+    total = F.aggregate(F.col("rows"), F.lit(0.0), lambda a, x: a + F.coalesce(x["similarity_score"].cast("double"), F.lit(0.0)))
+    out = df.filter("cluster_id <> -1").groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"), rows.alias("rows"), F.round(F.max("similarity_score") * 100, 1).alias("max_score"), F.count("similarity_score").alias("scored"))
+    mean = F.when(F.col("scored") > 0, total / F.col("scored"))
+    return out.select("cluster_id", "n", F.array_join(F.transform("rows", lambda x: x["name"]), ",").alias("names"), "max_score", F.round(mean * 100, 1).alias("avg_score"))
 
 
 def size_histogram(df: DataFrame) -> DataFrame:
