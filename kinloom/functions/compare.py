@@ -101,8 +101,13 @@ def closeness(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def address_features(df: DataFrame, address: str, city: str, zip_: str, prefix: str) -> DataFrame:
     """Everything that the comparison needs of one side, computed once a record and not once a pair."""
+    return address_texts(df, address, prefix).withColumns({f"{prefix}_city": M.normalize_city(F.col(city)), f"{prefix}_zip": M.normalize_zip(F.col(zip_))})
+
+
+def address_texts(df: DataFrame, address: str, prefix: str) -> DataFrame:
+    """The features that the address line alone gives."""
     p = lambda n: f"{prefix}_{n}"
-    df = df.withColumn(p("addr"), M.normalize_address(F.col(address))).withColumn(p("city"), M.normalize_city(F.col(city))).withColumn(p("zip"), M.normalize_zip(F.col(zip_)))
+    df = df.withColumn(p("addr"), M.normalize_address(F.col(address)))
     a = F.col(p("addr"))
     core = M.street_core(a)
     return df.withColumns({
@@ -111,6 +116,14 @@ def address_features(df: DataFrame, address: str, city: str, zip_: str, prefix:
     })
 
 
+def meeting_key(prefix: str) -> Column:
+    """What the addresses of two rows must share for a rule to weigh them: the box number, the house number, or having
+    neither. Null for rows that no rule weighs; all pairs that differ in it score 0."""
+    col = lambda n: F.col(f"{prefix}_{n}")
+    street = F.when(col("num") != "", F.concat(F.lit("street "), col("num"))).otherwise("neither")
+    return F.when(~col("unknown") & (col("addr") != ""), F.when(~col("is_box"), street).when(col("box") != "", F.concat(F.lit("box "), col("box"))))
+
+
 def compare_addresses(pairs: DataFrame, s: str = "s", m: str = "m") -> DataFrame:
     """Adds same_address, address_score and address_reason to pairs that carry both sides' ``address_features``.
 

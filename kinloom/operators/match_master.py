@@ -9,7 +9,7 @@ from ..functions import compare as C
 from ..functions import master as M
 from ..functions import values as V
 from ..functions.similarity import jaro_winkler_udf, score_distinct
-from ..functions.text import safe, scrub_newlines
+from ..functions.text import safe, scrub_newlines, squeeze
 from ..session import materialize
 
 
@@ -35,42 +35,69 @@ def candidates(source: DataFrame, master: DataFrame) -> DataFrame:
     return out.withColumns({"ssn_status": status, "match_count": F.coalesce("match_count", F.lit(0))})
 
 
-def name_features(df: DataFrame, prefix: str) -> DataFrame:
-    """Normalized names of one side, computed once a record: the name, those in the address, and the contact."""
-    contact = F.array_compact(F.array(F.when(safe(F.col("contact_person")) != "", M.normalize_name(F.col("contact_person")))))
-    names = F.transform(M.names_in_address(F.col("address")), lambda x: M.normalize_name(x))
-    return df.withColumns({f"{prefix}_name": M.normalize_name(F.col("name")), f"{prefix}_names": names, f"{prefix}_contact": contact})
+def features(df: DataFrame, prefix: str, gate: str = "") -> DataFrame:
+    """``df`` with all that the matcher reads of one side: address features, normalized names (the name, those in the address,
+    the contact), what normalizing changed, the quality gate and the trust flag. Each different text is normalized once."""
+    p = lambda n: f"{prefix}_{n}"
+    t = F.col("text")
+    texts = {
+        "address": lambda x: C.address_texts(x, "text", prefix).withColumn(p("names"), F.transform(M.names_in_address(t), lambda n: M.normalize_name(n))).withColumn("__trust_address", M.is_trust(F.lit(""), t)),
+        "name": lambda x: x.withColumns({p("name"): M.normalize_name(t), p("detail"): M.normalization_detail(t), "__trust_name": M.is_trust(t, F.lit(""))}),
+        "contact_person": lambda x: x.withColumn(p("contact"), F.array_compact(F.array(F.when(safe(t) != "", M.normalize_name(t))))),
+    }
+    out = df.withColumns({p("city"): M.normalize_city(F.col("city")), p("zip"): M.normalize_zip(F.col("zip"))})
+    for column, add in texts.items():
+        distinct = df.select(F.col(column).alias("text")).distinct().repartition(df.sparkSession.sparkContext.defaultParallelism)
+        out = out.join(materialize(add(distinct), column), F.col(column).eqNullSafe(F.col("text"))).drop("text")
+    held = M.quality_gate(*(F.col(x) for x in ("name", "address", "city", "state", "zip")), prefix=gate)
+    return out.withColumns({p("gate"): held, p("trust"): F.col("__trust_name") | F.col("__trust_address")}).drop("__trust_name", "__trust_address")
 
 
-def record_verdicts(df: DataFrame, prefix: str, gate: str = "") -> DataFrame:
-    """The quality gate and the trust flag of one side, computed once a record."""
-    held = M.quality_gate(*(F.col(x) for x in ("name", "address", "city", "state", "zip")), prefix=gate)
-    return df.withColumns({f"{prefix}_gate": held, f"{prefix}_trust": M.is_trust(F.col("name"), F.col("address"))})
+def _who(prefix: str) -> Column:
+    """All that the names of one side say, as one text."""
+    return F.to_json(F.struct(F.col(f"{prefix}_name").alias("name"), F.col(f"{prefix}_names").alias("names"), F.col(f"{prefix}_contact").alias("contact")))
+
+
+_WHO = "struct<name:string,names:array<string>,contact:array<string>>"
 
 
 def _boost(df: DataFrame) -> DataFrame:
-    """Adds name_score and name_boost_source: where the plain comparison stays below 0.95, names in the address fields
-    and the master's contact may raise it, to 0.95 at most; of equal scores the first source in order counts."""
-    arr = lambda *names: F.array(*(F.col(n) for n in names))
+    """Adds name_rule, name_score and name_boost_source by s_who and m_f_who: where the plain comparison stays below 0.95,
+    names in the address fields and the master's contact may raise it, to 0.95 at most; of equal scores the first source
+    in order counts. Names that meet often are compared once."""
 
     def cross(what: str, left: Column, right: Column) -> Column:
         return F.flatten(F.transform(left, lambda a: F.transform(right, lambda b: F.struct(F.lit(what).alias("what"), a.alias("a"), b.alias("b")))))
 
-    name, others = arr("s_name"), F.col("s_names")
-    master, contact, m_names = arr("m_f_name"), F.col("m_f_contact"), F.col("m_f_names")
+    both = ["s_who", "m_f_who"]
+    met = materialize(df.select(*both).distinct(), "met").withColumns({"s": F.from_json("s_who", _WHO), "m": F.from_json("m_f_who", _WHO)})
+    name, others = F.array("s.name"), F.col("s.names")
+    master, contact, m_names = F.array("m.name"), F.col("m.contact"), F.col("m.names")
     tries = F.concat(
         cross("PRIMARY", name, master), cross("DEC_CONTACT", name, contact), cross("SOURCE_ADDR_NAME", others, master), cross("SOURCE_ADDR+DEC_CONTACT", others, contact),
         cross("DEC_ADDR_NAME", name, m_names), cross("SOURCE_ADDR+DEC_ADDR", others, m_names),
     )
-    rows = df.select("record_id", "m_record_id", F.posexplode(tries)).select("record_id", "m_record_id", "pos", "col.what", "col.a", "col.b")
-    rows = materialize(rows, "names")
+    rows = materialize(met.select(*both, F.posexplode(tries)).select(*both, "pos", "col.what", "col.a", "col.b"), "names")
     rows = score_distinct(rows, "a", "b", C.name_compare, "r").withColumn("s", F.col("r.name_score"))
     primary = F.max(F.when(F.col("what") == "PRIMARY", F.col("s")))
     rule = F.max(F.when(F.col("what") == "PRIMARY", F.col("r.rule"))).alias("name_rule")
-    got = rows.groupBy("record_id", "m_record_id").agg(rule, primary.alias("p"), F.max_by(F.struct("what"), F.struct(F.when(F.col("what") != "PRIMARY", F.least("s", F.lit(0.95))), -F.col("pos"))).alias("w"), F.max(F.when(F.col("what") != "PRIMARY", F.least("s", F.lit(0.95)))).alias("x"))
+    got = rows.groupBy(*both).agg(rule, primary.alias("p"), F.max_by(F.struct("what"), F.struct(F.when(F.col("what") != "PRIMARY", F.least("s", F.lit(0.95))), -F.col("pos"))).alias("w"), F.max(F.when(F.col("what") != "PRIMARY", F.least("s", F.lit(0.95)))).alias("x"))
     lifted = (F.col("p") < 0.95) & (F.col("x") > F.col("p"))
-    got = got.select("record_id", "m_record_id", "name_rule", F.when(lifted, F.col("x")).otherwise(F.col("p")).alias("name_score"), F.when(lifted, F.col("w.what")).alias("name_boost_source"))
-    return df.join(got, ["record_id", "m_record_id"])
+    got = got.select(*both, "name_rule", F.when(lifted, F.col("x")).otherwise(F.col("p")).alias("name_score"), F.when(lifted, F.col("w.what")).alias("name_boost_source"))
+    return df.join(materialize(got, "named"), both)
+
+
+def deciding(s: DataFrame, m: DataFrame) -> DataFrame:
+    """The pairs that decide a source row with a master row of its SSN: those whose addresses a rule weighs, and the one with
+    the SSN's first master row. Any other pair scores 0 and comes after that one, so it is neither the best nor a possible
+    match, and an SSN of many rows on both sides does not give all their pairs. Columns are those of ``candidates``."""
+    key = lambda: F.when(M.clean_ssn(F.col("ssn")) != "", M.clean_ssn(F.col("ssn")))
+    m = m.withColumn("m_key", key()).filter("m_key is not null")
+    first = m.groupBy("m_key").agg(F.count(F.lit(1)).alias("match_count"), F.min("record_id").alias("first_id"))
+    s = s.withColumn("ssn_clean", key()).join(first, F.col("ssn_clean") == F.col("m_key")).drop("m_key").withColumn("s_meets", C.meeting_key("s"))
+    m = m.withColumn("m_meets", C.meeting_key("f")).select("m_key", "m_meets", *(F.col(c).alias(f"m_{c}") for c in m.columns if c != "m_key"))
+    weighed = s.join(m, (s.ssn_clean == m.m_key) & (s.s_meets == m.m_meets) & (s.first_id != m.m_record_id))
+    return weighed.unionByName(s.join(m, s.first_id == m.m_record_id)).drop("m_key", "m_meets", "s_meets", "first_id")
 
 
 def match(source: DataFrame, master: DataFrame, buckets=V.BUCKETS) -> DataFrame:
@@ -80,28 +107,28 @@ def match(source: DataFrame, master: DataFrame, buckets=V.BUCKETS) -> DataFrame:
     ``source`` and ``master`` have record_id, name, address, city, state, zip, contact_person and ssn."""
     fields = ["record_id", "name", "address", "city", "state", "zip", "contact_person", "ssn"]
     source, master = source.select(*fields), master.select(*fields)
-    s = materialize(record_verdicts(name_features(C.address_features(source, "address", "city", "zip", "s"), "s"), "s"), "source")
-    m = materialize(record_verdicts(name_features(C.address_features(master, "address", "city", "zip", "f"), "f"), "f", "DEC_"), "master")
-    # Pairs carry what the address rules read; the other columns join the few rows that stay.
-    late = {"s": [*fields[1:-1], "s_name", "s_names", "s_contact", "s_gate", "s_trust"], "f": [*fields[1:-1], "f_name", "f_names", "f_contact", "f_gate", "f_trust"]}
-    met = candidates(s.drop(*late["s"]), m.drop(*late["f"])).filter("ssn_status = 'MATCHED'")
+    s, m = materialize(features(source, "s"), "source"), materialize(features(master, "f", "DEC_"), "master")
+    # Pairs carry what the address rules read and who their rows name; the other columns join the best pair.
+    late = {"s": [*fields[1:-1], "s_name", "s_names", "s_contact", "s_detail", "s_gate", "s_trust"], "f": [*fields[1:-1], "f_name", "f_names", "f_contact", "f_detail", "f_gate", "f_trust"]}
+    met = deciding(s.withColumn("s_who", _who("s")).drop(*late["s"]), m.withColumn("f_who", _who("f")).drop(*late["f"]))
     met = C.compare_addresses(met, "s", "m_f").withColumn("a100", M.round5(F.col("address_score") * 100))
-    every = Window.partitionBy("record_id")
-    met = met.withColumn("r", F.row_number().over(every.orderBy(F.desc("address_score"), "m_record_id")))
+    met = met.select("record_id", "m_record_id", "match_count", "s_who", "m_f_who", "address_score", "address_reason", "a100")
+    best = F.row_number().over(Window.partitionBy("record_id").orderBy(F.desc("address_score"), "m_record_id"))
     # Names count only for the best row and for rows whose address is good enough for a possible match.
-    met = met.filter("r = 1 OR a100 > 84").join(s.select("record_id", *late["s"]), "record_id")
-    met = met.join(m.select(F.col("record_id").alias("m_record_id"), *(F.col(x).alias(f"m_{x}") for x in late["f"])), "m_record_id")
-    met = _boost(materialize(met, "compared")).withColumn("n100", M.round5(F.col("name_score") * 100))
-    met = met.withColumn("possible_address_matches", F.sum(F.when((F.col("n100") > 94) & (F.col("a100") > 84), 1).otherwise(0)).over(every)).filter("r = 1")
+    met = _boost(materialize(met.withColumn("r", best).filter("r = 1 OR a100 > 84"), "compared")).withColumn("n100", M.round5(F.col("name_score") * 100))
+    found = met.groupBy("record_id").agg(F.count_if((F.col("n100") > 94) & (F.col("a100") > 84)).alias("possible_address_matches"))
+    met = met.filter("r = 1").join(found, "record_id").withColumn("ssn_status", F.lit("MATCHED")).join(s.select(*[c for c in s.columns if c not in met.columns or c == "record_id"]), "record_id")
+    met = met.join(m.select(F.col("record_id").alias("m_record_id"), *(F.col(x).alias(f"m_{x}") for x in m.columns if x != "record_id")), "m_record_id")
     trust = F.col("s_trust")
     gate = F.coalesce("s_gate", "m_f_gate", F.when(F.col("address_reason") == "UNKNOWN_ADDRESS", "UNKNOWN_ADDRESS"))
-    combo = lambda p, t: F.concat_ws(" ", M.normalize_name(F.col(p + "name"), t), M.normalize_address(F.col(p + "address"), t), M.normalize_city(F.col(p + "city")), F.upper(safe(F.col(p + "state"))), M.normalize_zip(F.col(p + "zip")))
-    met = materialize(met.withColumns({"ca": combo("", trust), "cb": combo("m_", False)}), "best")
+    as_is = lambda c, normal: F.when(trust, squeeze(F.upper(safe(F.col(c))))).otherwise(F.col(normal))
+    combo = lambda p, q, name, address: F.concat_ws(" ", name, address, F.col(f"{q}_city"), F.upper(safe(F.col(f"{p}state"))), F.col(f"{q}_zip"))
+    met = materialize(met.withColumns({"ca": combo("", "s", as_is("name", "s_name"), as_is("address", "s_addr")), "cb": combo("m_", "m_f", F.col("m_f_name"), F.col("m_f_addr"))}), "best")
     met = met.withColumn("nameaddrscore", M.round5(jaro_winkler_udf("ca", "cb") * 100))
     met = met.withColumns({
         "name_ambiguous": M.ambiguous_name(F.col("n100"), F.lit(100.0)),
         "address_ambiguous": M.ambiguous_address(F.col("a100"), F.col("s_zip"), F.col("m_f_zip"), F.array_sort("s_nums"), F.array_sort("m_f_nums")),
-        "name_norm_detail": M.audit_detail(M.normalization_detail(F.col("name")), M.normalization_detail(F.col("m_name"))),
+        "name_norm_detail": M.audit_detail(F.col("s_detail"), F.col("m_f_detail")),
         "name_match_detail": M.boost_detail(F.col("name_rule"), F.col("name_boost_source"), F.col("name_score")),
     })
     met = met.withColumns({"review_reason": gate, "is_trust": (trust | F.col("m_f_trust")).cast("int")})
