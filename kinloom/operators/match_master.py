@@ -12,6 +12,9 @@ from ..functions.similarity import jaro_winkler_udf, score_distinct
 from ..functions.text import safe, scrub_newlines, squeeze
 from ..session import materialize
 
+#: Pairs that one SSN's source rows of a part make, about.
+PART = 1 << 22
+
 
 def load_master(associates: DataFrame, addresses: DataFrame) -> DataFrame:
     """The master view: tax-info associates joined with their business addresses, newlines scrubbed, by clean SSN."""
@@ -24,15 +27,28 @@ def load_master(associates: DataFrame, addresses: DataFrame) -> DataFrame:
 def candidates(source: DataFrame, master: DataFrame) -> DataFrame:
     """Source rows with every master row of their SSN: ssn_status NO_SSN, SSN_NOT_FOUND or MATCHED, and match_count.
 
-    An invalid SSN has a null key, so it meets nothing. Master rows carry the prefix m_."""
+    An invalid SSN has a null key, so it meets nothing. Master rows carry the prefix m_. Source rows of an SSN with many
+    pairs are dealt to parts by a hash of record_id, each of which meets the SSN's master rows, so that pairs are made
+    in many tasks however few SSNs, or bytes, there are."""
     key = F.when(M.clean_ssn(F.col("ssn")) != "", M.clean_ssn(F.col("ssn")))
     s = source.withColumn("ssn_clean", key)
     m = master.withColumn("m_key", M.clean_ssn(F.col("ssn"))).filter("m_key <> ''")
     m = m.select("m_key", *(F.col(c).alias(f"m_{c}") for c in master.columns))
-    counts = m.groupBy("m_key").agg(F.count(F.lit(1)).alias("match_count")).withColumnRenamed("m_key", "n_key")
-    out = s.join(m, s.ssn_clean == m.m_key, "left").join(counts, s.ssn_clean == counts.n_key, "left").drop("n_key", "m_key")
-    status = F.when(F.col("ssn_clean").isNull(), "NO_SSN").when(F.col("match_count").isNull(), "SSN_NOT_FOUND").otherwise("MATCHED")
-    return out.withColumns({"ssn_status": status, "match_count": F.coalesce("match_count", F.lit(0))})
+    held = s.filter("ssn_clean is not null").groupBy(F.col("ssn_clean").alias("n_key")).agg(F.count(F.lit(1)).alias("n_rows"))
+    sizes = m.groupBy(F.col("m_key").alias("n_key")).agg(F.count(F.lit(1)).alias("match_count")).join(held, "n_key")
+    pairs = F.col("n_rows") * F.col("match_count")
+    sizes = materialize(sizes.select("n_key", "match_count", pairs.alias("n_pairs"), F.ceil(pairs / PART).alias("parts")), "sizes")
+    total, parts = sizes.agg(F.coalesce(F.sum("n_pairs"), F.lit(0)), F.coalesce(F.sum("parts"), F.lit(0))).first()
+    tasks = int(max(1, total // (2 * PART), min(parts, source.sparkSession.sparkContext.defaultParallelism)))
+    of = sizes.select("n_key", "match_count", "parts")
+    left = s.join(of, s.ssn_clean == of.n_key, "left")
+    names = [f"m_{c}" for c in master.columns]
+    status = F.when(F.col("ssn_clean").isNull(), "NO_SSN").otherwise("SSN_NOT_FOUND")
+    lone = left.filter("n_key is null").select(*s.columns, *(F.lit(None).cast(m.schema[c].dataType).alias(c) for c in names), F.lit(0).cast("long").alias("match_count"), status.alias("ssn_status"))
+    dealt = left.filter("n_key is not null").withColumn("part", F.pmod(F.xxhash64("record_id"), "parts")).repartition(tasks, "n_key", "part")
+    copies = m.join(of.select("n_key", "parts"), F.col("m_key") == F.col("n_key")).select("n_key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), *names)
+    met = dealt.drop("parts").join(copies, ["n_key", "part"])
+    return met.select(*s.columns, *names, "match_count", F.lit("MATCHED").alias("ssn_status")).unionByName(lone)
 
 
 def features(df: DataFrame, prefix: str, gate: str = "") -> DataFrame:
